@@ -5,13 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, language, secrets, tokens
+from . import bpe, decontaminate, language, secrets, suffix_array, suffix_tree, tokens
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_array.dedup(_documents(spark, sf_dir), length=200).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.scan(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), n=10)
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -30,11 +34,15 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.dedup(_documents(spark, sf_dir), window=13).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     return language.identify(docs, language.learn(docs))
 
 
-QUERIES = {f.__name__: f for f in (op2_benchmark_decontamination, op3_token_counts, op5_secret_scan, op6_bpe, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_suffix_array_dedup, op2_benchmark_decontamination, op3_token_counts, op5_secret_scan, op6_bpe, op9_substring_dedup, op10_language_id)}
 
 ORACLE_SQL: dict[str, str] = {}
