@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, language, secrets, suffix_array, suffix_tree, tokens
+from . import bpe, decontaminate, jaccard_join, language, secrets, suffix_array, suffix_tree, tokens
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link(_documents(spark, sf_dir), n=3, percent=90).select("doc_id", "n_shingles", "component_id")
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.dedup(_documents(spark, sf_dir), window=13).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
@@ -43,6 +47,6 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.learn(docs))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_array_dedup, op2_benchmark_decontamination, op3_token_counts, op5_secret_scan, op6_bpe, op9_substring_dedup, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_suffix_array_dedup, op2_benchmark_decontamination, op3_token_counts, op5_secret_scan, op6_bpe, op7_ngram_jaccard_join, op9_substring_dedup, op10_language_id)}
 
 ORACLE_SQL: dict[str, str] = {}
