@@ -21,8 +21,9 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ._arrow import BASE, INVERSE, chunks, mix, powers, span_hashes, texts
+from ._arrow import BASE, INVERSE, chunks, mix, powers, span_hashes
 
 _MADE: list[tuple[SparkSession, str]] = []
 
@@ -53,24 +54,32 @@ def _remove() -> None:
             return
 
 
-def identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(rid, doc_id, text) with a unique rid: the id itself, or a stored number where ids repeat or are null."""
-    rows = texts(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("bigint"))
+def identified(docs: DataFrame, id_col: str, text_col: str, carry: bool = False) -> DataFrame:
+    """(rid, doc_id, text) with a unique rid: the id itself, or a stored number where ids repeat or are null.
+
+    carry: with a struct ``row`` of all columns but the text.
+    """
+    rows = docs.select(
+        F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"),
+        *([F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != text_col)).alias("row")] if carry else []),
+    )
     if rows.groupBy("doc_id").count().where((F.col("count") > 1) | F.col("doc_id").isNull()).limit(1).count():
-        return stored(rows.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text"), "rows")
-    return rows.select(F.col("doc_id").alias("rid"), "doc_id", "text")
+        return stored(rows.withColumn("rid", F.monotonically_increasing_id()), "rows").select("rid", *rows.columns)
+    return rows.select(F.col("doc_id").alias("rid"), *rows.columns)
 
 
 def packed(rows: DataFrame) -> DataFrame:
-    """(rid, doc_id, z): the texts, compressed for the shuffle; null stays null."""
+    """The rows with z in place of the text: it, compressed for the shuffle; null stays null."""
+    names = ["z" if c == "text" else c for c in rows.columns]
+    schema = T.StructType([T.StructField(n, T.BinaryType() if n == "z" else f.dataType) for n, f in zip(names, rows.schema, strict=True)])
 
     def run(batches):
         squeeze = zstandard.ZstdCompressor(level=3)
         for part in chunks(batches):
-            z = [None if x is None else squeeze.compress(x) for x in part.column("text").cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column("rid"), part.column("doc_id"), pa.array(z, pa.binary())], names=["rid", "doc_id", "z"])
+            z = pa.array([None if x is None else squeeze.compress(x) for x in part.column("text").cast(pa.binary()).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([z if n == "z" else part.column(n) for n in names], names=names)
 
-    return rows.mapInArrow(run, "rid bigint, doc_id bigint, z binary")
+    return rows.mapInArrow(run, schema)
 
 
 def unpack(z: bytes | None) -> bytes:

@@ -156,13 +156,15 @@ def decode(encoded: DataFrame, model_path: str, id_col: str = "doc_id", ids_col:
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text string")
 
 
-def digest(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, and SHA-256 of the ids (little-endian, 32 bits) and of the decoded text."""
+def digest(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, and SHA-256 of the ids (little-endian, 32 bits) and of the decoded text; with_ids: the ids too."""
 
     def work(part: pa.RecordBatch) -> list:
         ids, offsets = encode_chunk(model_path, part.column("text"))
         raw = memoryview(np.ascontiguousarray(ids.astype("<u4")).view(np.uint8))
         shas = [sha256(raw[4 * a : 4 * b]) for a, b in zip(offsets, offsets[1:], strict=False)]
-        return [pa.array(np.diff(offsets)), pa.array(shas, pa.string()), pa.array([sha256(x) for x in decode_chunk(model_path, ids, offsets)], pa.string())]
+        out = [pa.array(np.diff(offsets)), pa.array(shas, pa.string()), pa.array([sha256(x) for x in decode_chunk(model_path, ids, offsets)], pa.string())]
+        return [*out, pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.astype(np.int32)))] if with_ids else out
 
-    return per_text(texts(docs, id_col, text_col), "n_tokens bigint, ids_sha256 string, decoded_sha256 string", work, limit=4 << 20)
+    fields = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    return per_text(texts(docs, id_col, text_col), fields + ", ids array<int>" * with_ids, work, limit=4 << 20)

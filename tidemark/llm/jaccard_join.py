@@ -5,8 +5,8 @@ tokens, under any order that all sets have in common. Two such orders are used,
 sketch of fixed size over all rows (sums of hashed counts), the orders differ in the sketch's hash and in how
 ties go. A pair of the first order's small buckets must turn up under the second one as well before it is verified.
 
-A bucket of more than ``SMALL`` sets never becomes pairs: its sets, by bands of like size, form a group around its
-least member. Groups meet in one task each (in blocks, every block against every other, beyond ``BLOCK`` tokens), where
+A bucket of more than a few sets never becomes pairs: its sets, by bands of like size, form a group around its
+least member. Groups meet in one task each (in blocks, every block against every other, where a group is large), where
 exact overlaps are counted through an inverted index, and come out as links to the group's least connected
 member. Equal sets are one node. Components are the links' connected components.
 
@@ -23,13 +23,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ._arrow import LOWER, NOT_SPACE, chunks, flat, mix, prefix_sums, span_hashes, words
+from ._groups import MEMBER, SMALL, blocked, buckets, meet, member_batch, pair_members, small_pairs
 from ._repeats import identified, packed, stored, unpack
 from .components import components
 
-#: Sets of a bucket that still becomes pairs; tokens of a block; counters of the sketch, and the slices it travels in.
-SMALL, BLOCK, SKETCH, SLICES = 8, 1 << 22, 1 << 20, 64
+#: Counters of the sketch, and the slices it travels in.
+SKETCH, SLICES = 1 << 20, 64
 _SALTS = (np.uint64(0x8EBC6AF09C88C6E3), np.uint64(0x589965CC75374CC3))
 
 
@@ -113,41 +115,23 @@ def _prefixes(rows: DataFrame, sketch, n: int, percent: int) -> DataFrame:
     return rows.mapInArrow(run, "rid bigint, doc_id bigint, n int, d1 bigint, d2 bigint, first array<bigint>, second array<bigint>")
 
 
-def _buckets(heads: DataFrame, column: str) -> DataFrame:
-    """(token, rid, n, m): postings of tokens that m > 1 sets have in their prefixes."""
-    postings = heads.select(F.explode(column).alias("token"), "rid", "n")
-    return stored(postings.withColumn("m", F.count("*").over(Window.partitionBy("token"))).where("m > 1"), "postings")
-
-
-def _pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """Distinct (a, b), a < b, of small buckets whose sizes allow a link."""
-    few = postings.where(F.col("m") <= SMALL).groupBy("token").agg(F.array_sort(F.collect_list(F.struct("rid", "n"))).alias("x"))
-    pairs = few.select(F.explode(F.flatten(F.transform("x", lambda p, i: F.transform(F.slice("x", i + 2, SMALL), lambda q: F.struct(p["rid"].alias("a"), q["rid"].alias("b"), p["n"].alias("na"), q["n"].alias("nb")))))).alias("p")).select("p.*")
-    return pairs.where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b").distinct()
-
-
-def link(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id and n_links of every text.
-
-    component_id is the least doc_id that links lead to; n_links counts the links found to other sets of the
-    component (a spanning set of them, not each one) and is at least 1 exactly where there is any.
-    """
-    spark = docs.sparkSession
-    rows = identified(docs, id_col, text_col)
+def _components(rows: DataFrame, n: int, percent: int) -> DataFrame:
+    """(rid, doc_id, n, root, links) of (rid, doc_id, text); root: the same for all of a component."""
+    spark = rows.sparkSession
     sketch = spark.sparkContext.broadcast(_sketch(rows, n))
     same = Window.partitionBy("n", "d1", "d2").orderBy("rid")
     heads = _prefixes(rows, sketch, n, percent)
     heads = heads.withColumn("rep", F.when(F.col("n") > 0, F.first("rid").over(same)).otherwise(F.col("rid")))
     heads = heads.withColumn("first", F.when(F.col("rep") == F.col("rid"), F.col("first"))).withColumn("second", F.when(F.col("rep") == F.col("rid"), F.col("second")))
     heads = stored(heads.drop("d1", "d2"), "sets")
-    first, second = _buckets(heads, "first"), _buckets(heads, "second")
+    first, second = (buckets(heads.select(F.explode(c).alias("token"), "rid", "n")) for c in ("first", "second"))
     # small buckets: pairs that both orders admit; a pair may meet in a large bucket of the second order instead
     crowd = second.where(F.col("m") > SMALL).select("rid").distinct()
-    admitted = _pairs(second, percent).withColumn("seen", F.lit(True))
-    pairs = _pairs(first, percent).join(admitted, ["a", "b"], "left")
+    admitted = small_pairs(second, percent).withColumn("seen", F.lit(True))
+    pairs = small_pairs(first, percent).join(admitted, ["a", "b"], "left")
     pairs = pairs.join(crowd.select(F.col("rid").alias("a"), F.lit(True).alias("ca")), "a", "left").join(crowd.select(F.col("rid").alias("b"), F.lit(True).alias("cb")), "b", "left")
     pairs = pairs.where("seen or (ca and cb)").select("a", "b")
-    near = pairs.select(F.col("a").alias("lead"), F.lit(-1).alias("band"), F.col("b").alias("rid")).union(pairs.select("a", F.lit(-1), "a"))
+    near = pair_members(pairs)
     # large buckets: sets of like size around the least one
     width = math.log(100 / percent) * 1.0001 if percent < 100 else 1e-9
     band = F.floor(F.log("n") / F.lit(width)).cast("int")
@@ -155,12 +139,7 @@ def link(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id",
     large = large.join(large.groupBy("token", "band").agg(F.min("rid").alias("lead"), F.count("*").alias("own")).where("own > 1"), ["token", "band"])
     members = near.union(large.select("lead", "band", "rid")).distinct()
     members = members.join(heads.where("rep = rid").select("rid", "n"), "rid")
-    members = stored(members, "members")
-    blocks = members.groupBy("lead", "band").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
-    members = members.join(blocks, ["lead", "band"]).withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int"))
-    # a block against each other one and itself
-    members = members.select("lead", "band", "rid", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    members = members.select("rid", F.struct("lead", "band", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block").alias("g"))
+    members = blocked(stored(members, "members"))
     wanted = members.groupBy("rid").agg(F.collect_list("g").alias("groups"))
 
     def fetch(batches):
@@ -172,81 +151,47 @@ def link(docs: DataFrame, n: int = 3, percent: int = 90, id_col: str = "doc_id",
                 for g in groups.as_py():
                     out.append((g["lead"], g["band"], g["low"], g["high"], g["block"], rid, tokens))
                     if len(out) >= 512:
-                        yield _batch(out)
+                        yield member_batch(out)
                         out = []
             if out:
-                yield _batch(out)
+                yield member_batch(out)
 
-    fields = "lead bigint, band int, low int, high int, block int, rid bigint, tokens binary"
-    gathered = packed(rows).join(wanted, "rid").select("rid", "z", "groups").mapInArrow(fetch, fields)
+    gathered = packed(rows).join(wanted, "rid").select("rid", "z", "groups").mapInArrow(fetch, MEMBER)
 
-    def meet(batches):
-        """Rows come sorted by group; a group is done when the next begins."""
-        held: list[tuple] = []
-        key = None
-        for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("lead", "band", "low", "high", "block", "rid", "tokens")]
-            for row in zip(*columns, strict=True):
-                if row[:4] != key and held:
-                    yield _linked(held, key, percent)
-                    held = []
-                key = row[:4]
-                held.append(row[4:])
-        if held:
-            yield _linked(held, key, percent)
-
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    groups = gathered.repartition(parts, "lead", "band", "low", "high").sortWithinPartitions("lead", "band", "low", "high", "rid")
-    links = stored(groups.mapInArrow(meet, "a bigint, b bigint"), "links")
+    links = stored(meet(gathered, percent), "links")
     roots = components(links)
     degree = links.select("a").union(links.select("b")).groupBy("a").agg(F.count("*").alias("links")).withColumnRenamed("a", "node")
     found = heads.select("rid", "doc_id", "n", "rep").join(roots.join(degree, "node").withColumnRenamed("node", "rep"), "rep", "left")
-    found = found.withColumn("root", F.coalesce("root", "rep"))
+    return found.select("rid", "doc_id", "n", F.coalesce("root", "rep").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
+
+
+def link(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id and n_links of every text.
+
+    component_id is the least doc_id that links lead to; n_links counts the links found to other sets of the
+    component (a spanning set of them, not each one) and is at least 1 exactly where there is any.
+    """
+    found = _components(identified(docs, id_col, text_col), n, percent)
     least = found.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("size"))
     # components of one document need no join
-    several = least.where("size > 1")
-    found = found.join(several, "root", "left")
-    return found.select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), F.when(F.col("size").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("links", F.lit(0)).alias("n_links"))
-
-
-def overlaps(members: list[np.ndarray], probes: list[np.ndarray]):
-    """For each probe, its numbers of common tokens with all members (both: distinct tokens)."""
-    tokens = np.concatenate(members) if members else np.zeros(0, np.uint64)
-    owner = np.repeat(np.arange(len(members)), [len(m) for m in members])
-    order = np.argsort(tokens, kind="stable")
-    tokens, owner = tokens[order], owner[order]
-    for probe in probes:
-        a, b = np.searchsorted(tokens, probe, side="left"), np.searchsorted(tokens, probe, side="right")
-        size = b - a
-        at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(a, size)
-        yield np.bincount(owner[at], minlength=len(members))
-
-
-def _linked(held: list[tuple], key: tuple, percent: int) -> pa.RecordBatch:
-    """Links of a group's sets, as each one's link to the least set that it is connected with here."""
-    inner = key[2] == key[3]
-    probes = [(r, np.frombuffer(t, np.uint64)) for block, r, t in held if inner or block == key[2]]
-    members = probes if inner else [(r, np.frombuffer(t, np.uint64)) for block, r, t in held if block == key[3]]
-    sizes = np.array([len(t) for _, t in members])
-    found = []
-    for (rid, tokens), common in zip(probes, overlaps([t for _, t in members], [t for _, t in probes]), strict=True):
-        near = np.flatnonzero(100 * common >= percent * (sizes + len(tokens) - common))
-        found += [(rid, members[i][0]) for i in near if members[i][0] != rid]
-    parent: dict[int, int] = {}
-
-    def root(x):
-        while parent.setdefault(x, x) != x:
-            parent[x] = x = parent[parent[x]]
-        return x
-
-    for a, b in found:
-        a, b = root(a), root(b)
-        if a != b:
-            parent[max(a, b)] = min(a, b)
-    out = [(x, root(x)) for x in sorted(parent) if root(x) != x]
-    return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], names=["a", "b"])
-
-
-def _batch(out: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], kind) for i, kind in enumerate(kinds)], names=["lead", "band", "low", "high", "block", "rid", "tokens"])
+    found = found.join(least.where("size > 1"), "root", "left")
+    component = F.when(F.col("size").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
+    return found.select("doc_id", F.col("n").cast("bigint").alias("n_shingles"), component.alias("component_id"), F.col("links").alias("n_links"))
+
+
+def keep_one(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents, all columns as they are, of which each component's first (by id) stays."""
+    rows = identified(docs, id_col, text_col, carry=True)
+    found = _components(rows.select("rid", "doc_id", "text"), n, percent)
+    first = found.groupBy("root").agg(F.min("rid").alias("rid")).select("rid")
+    kept = packed(rows.select("rid", "row", "text")).join(first, "rid", "left_semi").select("row", "z")
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, len(batch), 512):
+                part = batch.slice(at, 512)
+                values = [None if z is None else unpack(z).decode() for z in part.column("z").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(values, pa.string())], names=["row", "kept"])
+
+    out = kept.mapInArrow(run, T.StructType([kept.schema["row"], T.StructField("kept", T.StringType())]))
+    return out.select(*(F.col("kept").cast(docs.schema[c].dataType).alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, jaccard_join, language, secrets, suffix_array, suffix_tree, tokens
+from . import bpe, decontaminate, jaccard_join, language, line_dedup, secrets, suffix_array, suffix_tree, tokens
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(_documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(_documents(spark, sf_dir), percent=80).select("doc_id", "n_lines", "n_removed", "kept_sha256")
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     return secrets.scan(docs, secrets.learn(docs))
@@ -47,6 +51,6 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.learn(docs))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_array_dedup, op2_benchmark_decontamination, op3_token_counts, op5_secret_scan, op6_bpe, op7_ngram_jaccard_join, op9_substring_dedup, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_suffix_array_dedup, op2_benchmark_decontamination, op3_token_counts, op4_line_dedup, op5_secret_scan, op6_bpe, op7_ngram_jaccard_join, op9_substring_dedup, op10_language_id)}
 
 ORACLE_SQL: dict[str, str] = {}
