@@ -55,6 +55,16 @@ def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     return df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
 
+def lowest(rows: DataFrame, total: int, max_rows: int, *keys: str) -> list:
+    """About max_rows of some total rows, at most: those whose hashed keys are lowest, in that order.
+
+    Rows beyond a cutoff, which leaves half as many again as wanted, never leave their tasks.
+    """
+    share = min(1.0, (1.5 * max_rows + 200) / max(1, total))
+    rank = F.xxhash64(*keys)
+    return rows.where(rank <= min((1 << 63) - 1, -(1 << 63) + int(share * (1 << 64)))).orderBy(rank, *keys).limit(max_rows).collect()
+
+
 def id_type(df: DataFrame) -> str:
     return df.schema["doc_id"].dataType.simpleString()
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._arrow import mix, per_text, texts
+from ._arrow import lowest, mix, per_text, texts
 
 #: N-gram sizes and the number of hashed features.
 SIZES, FEATURES = (1, 2, 3), 1 << 17
@@ -142,10 +142,10 @@ def held_out(doc_id: Column) -> Column:
 
 
 def learn(docs: DataFrame, max_rows: int = 2000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
-    """A model of at most max_rows labelled rows that aren't held out, those with the lowest hashes of their ids and texts."""
+    """A model of at most max_rows labelled rows that aren't held out, those with the lowest hashes."""
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
-    rows = rows.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    some = rows.orderBy(F.xxhash64("doc_id"), "text", "lang").limit(max_rows).collect()
+    rows = rows.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
+    some = lowest(rows.where(F.col("text").isNotNull()), rows.select("doc_id").count(), max_rows, "doc_id", "text", "lang")
     return fit([(r.text, r.lang) for r in some])
 
 

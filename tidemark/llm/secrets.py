@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._arrow import LOWER, flat, mix, per_text, prefix_sums, runs, sha256, span_hashes, texts
+from ._arrow import LOWER, flat, lowest, mix, per_text, prefix_sums, runs, sha256, span_hashes, texts
 
 KINDS = ("assign", "access", "hex", "crf")
 _ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE)
@@ -288,8 +288,10 @@ def examples(values: list[str], seed: int = 5) -> tuple[list[str], list[list[tup
 
 
 def learn(docs: DataFrame, max_rows: int = 300, id_col: str = "doc_id", text_col: str = "text") -> Field:
-    """A field trained on at most max_rows texts of at most 8,000 characters, those with the lowest hashes of their ids."""
-    rows = texts(docs, id_col, text_col).where(F.col("text").isNotNull() & (F.length("text") <= 8_000)).orderBy(F.xxhash64("doc_id"), "text").limit(max_rows).collect()
+    """A field trained on at most max_rows texts of at most 8,000 characters, those with the lowest hashes."""
+    rows = texts(docs, id_col, text_col)
+    short = rows.where(F.col("text").isNotNull() & (F.length("text") <= 8_000))
+    rows = lowest(short, rows.select("doc_id").count(), max_rows, "doc_id", "text")
     return fit([r.text for r in rows])
 
 
