@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, jaccard_join, language, line_dedup, secrets, suffix_array, suffix_tree, tokens
+from . import bpe, decontaminate, hamming_search, jaccard_join, language, line_dedup, secrets, suffix_array, suffix_tree, tokens
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +43,11 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link(_documents(spark, sf_dir), n=3, percent=90).select("doc_id", "n_shingles", "component_id")
 
 
+def op8_topk_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return hamming_search.search(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=10, bits=32)
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.dedup(_documents(spark, sf_dir), window=13).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
@@ -51,6 +57,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.learn(docs))
 
 
-QUERIES = {f.__name__: f for f in (op1_suffix_array_dedup, op2_benchmark_decontamination, op3_token_counts, op4_line_dedup, op5_secret_scan, op6_bpe, op7_ngram_jaccard_join, op9_substring_dedup, op10_language_id)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_suffix_array_dedup, op2_benchmark_decontamination, op3_token_counts, op4_line_dedup, op5_secret_scan,
+        op6_bpe, op7_ngram_jaccard_join, op8_topk_hamming, op9_substring_dedup, op10_language_id,
+    )
+}
 
 ORACLE_SQL: dict[str, str] = {}

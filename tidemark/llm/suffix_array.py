@@ -27,12 +27,18 @@ GRAM, SHARD = 50, 2 << 20
 
 def _grouped(values: np.ndarray, slot: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
     """Order by value, stable, and each one's place; slot is moved on by step for each."""
-    order = np.argsort(values, kind="stable")
+    order = values.argsort(kind="stable")
     ranked = values[order]
-    new = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
-    size = np.diff(np.append(new, len(ranked)))
-    place = np.repeat(slot[ranked[new]], size) + step * (np.arange(len(ranked)) - np.repeat(new, size))
-    slot[ranked[new]] += step * size
+    new = ranked[1:] != ranked[:-1]
+    if new.all():
+        place = slot[ranked]
+        slot[ranked] = place + step
+        return order, place
+    begin = np.concatenate(([0], np.flatnonzero(new) + 1))
+    size = np.diff(begin, append=len(ranked))
+    first = ranked[begin]
+    place = np.repeat(slot[first] - step * begin, size) + step * np.arange(len(ranked))
+    slot[first] += step * size
     return order, place
 
 
@@ -51,14 +57,14 @@ def _induce(text: np.ndarray, s_type: np.ndarray, seeds: np.ndarray, letters: in
     out[begin[seed_letter] + n_l[seed_letter] + rank] = seeds
     slot, stop = begin[:-1].copy(), begin[:-1] + n_l
     letter, at, total = 0, 0, len(out)
+    wanted = ~s_type  # position -1 stands for the sentinel, which nothing induces
     while at < total:
         while letter < letters and slot[letter] == stop[letter]:
             ahead = np.flatnonzero(slot[letter : letter + 512] < stop[letter : letter + 512])
             letter = letter + int(ahead[0]) if len(ahead) else min(letter + 512, letters)
         limit = int(slot[letter]) if letter < letters else total
         before = out[at:limit] - 1
-        before = before[before >= 0]
-        before = before[~s_type[before]]
+        before = before[wanted[before]]
         if len(before):
             order, place = _grouped(keys[before], slot, 1)
             out[place] = before[order]
@@ -73,6 +79,8 @@ def _induce(text: np.ndarray, s_type: np.ndarray, seeds: np.ndarray, letters: in
     out[begin[l_letter] + rank] = l_sorted
     slot, stop = begin[1:] - 1, begin[:-1] + n_l - 1
     letter, at = letters - 1, len(out) - 1
+    wanted = s_type.copy()
+    wanted[-1] = False
     while at >= 0:
         while letter >= 0 and slot[letter] == stop[letter]:
             low = max(0, letter - 511)
@@ -80,8 +88,7 @@ def _induce(text: np.ndarray, s_type: np.ndarray, seeds: np.ndarray, letters: in
             letter = low + int(ahead[-1]) if len(ahead) else low - 1
         limit = int(slot[letter]) if letter >= 0 else -1
         before = out[at:limit:-1] - 1 if limit >= 0 else out[at::-1] - 1
-        before = before[before >= 0]
-        before = before[s_type[before]]
+        before = before[wanted[before]]
         if len(before):
             order, place = _grouped(keys[before], slot, -1)
             out[place] = before[order]
@@ -101,9 +108,25 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     return _sorted(full, int(full.max()) + 1)
 
 
+def _settled(text: np.ndarray) -> np.ndarray:
+    """The end of the recursion: most letters are unique, and the ties that are left double their prefixes until they differ."""
+    n, rank, reach = len(text), text.astype(np.int64), 1
+    while True:
+        key = rank * n
+        key[:-reach] += rank[reach:]
+        order = key.argsort(kind="stable")
+        ranked = key[order]
+        rank[order] = np.concatenate(([0], np.cumsum(ranked[1:] != ranked[:-1])))
+        if rank[order[-1]] == n - 1:
+            return order[1:]  # without the sentinel
+        reach *= 2
+
+
 def _sorted(text: np.ndarray, letters: int) -> np.ndarray:
     """As suffix_array, of a text that ends in its only 0, which the result leaves out."""
     n = len(text)
+    if 4 * letters > n > 1024:
+        return _settled(text)
     change = np.flatnonzero(text[:-1] != text[1:])
     following = change[np.searchsorted(change, np.arange(n - 1))]
     s_type = np.ones(n, bool)
