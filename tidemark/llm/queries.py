@@ -65,4 +65,39 @@ QUERIES = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM, _SPACED = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", r"[^\x20\x09-\x0D]+"
+
+#: What SQL can express; the others are tested against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op2_benchmark_decontamination": f"""
+WITH items AS (SELECT item_id, regexp_extract_all({_LOWER}, '{_ALNUM}') AS w FROM benchmark),
+windows AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS g FROM items, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS t(i) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT n FROM windows),
+docs AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_ALNUM}') AS w FROM documents),
+spots AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS g FROM docs, sizes, unnest(range(1, len(w) - n + 2)) AS t(i)),
+found AS (SELECT doc_id, n, i, item_id FROM spots JOIN windows USING (n, g)),
+hits AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM found, unnest(range(i, i + n)) AS t(p) GROUP BY doc_id),
+listed AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN listed USING (doc_id)
+""",
+    "op7_ngram_jaccard_join": f"""
+WITH RECURSIVE docs AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_SPACED}') AS w FROM documents),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s FROM docs, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS t(i) WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)),
+reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least_one AS (SELECT a AS doc_id, min(b) AS m FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(m, doc_id)) AS component_id FROM docs LEFT JOIN sizes USING (doc_id) LEFT JOIN least_one USING (doc_id)
+""",
+    "op9_substring_dedup": f"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_SPACED}') AS w FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g FROM docs, unnest(range(1, len(w) - 11)) AS t(i)),
+first_one AS (SELECT g, min(doc_id) AS m FROM windows GROUP BY g),
+gone AS (SELECT DISTINCT doc_id, p FROM windows JOIN first_one USING (g), unnest(range(i, i + 13)) AS t(p) WHERE m < doc_id),
+kept AS (SELECT doc_id, string_agg(w[p], ' ' ORDER BY p) AS kept, count(*) AS n FROM (SELECT doc_id, w, p FROM docs, unnest(range(1, len(w) + 1)) AS t(p)) ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM docs LEFT JOIN kept USING (doc_id)
+""",
+}
