@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
@@ -11,15 +12,18 @@ from pyspark.sql import types as T
 
 from . import reports
 from .functions.convert import convert
-from .functions.cursor import INTEGER, TIMESTAMP, Cursor, advance, back, cursor_value, max_cursor
+from .functions.cursor import INTEGER, TIMESTAMP, Cursor, advance, back, cursor_value, max_cursor, open_rows
 from .functions.predicates import Filter, compile_filters
 from .functions.templates import Extra
 from .operators import changes
 from .operators.quarantine import split
+from .operators.store import TargetStore
 from .operators.upsert import last_writer, upsert
 from .plans.catalog import Catalog, Parent, State, Table
-from .plans.resolve import TablePlan
+from .pipeline import Runner
+from .plans.resolve import Plan, TablePlan
 from .plans.schema import INSTANCE, LiveTable, desired, diff, drift
+from .sources.frames import FrameSource
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -142,8 +146,6 @@ def mutable_overlap(spark, sf_dir):
 
 @query(f"SELECT o_orderkey, status FROM (SELECT o_orderkey, {_STATUS} AS status FROM orders) WHERE status IS NULL OR status NOT IN ('F')")
 def open_row_predicate(spark, sf_dir):
-    from .functions.cursor import open_rows
-
     return _orders(spark, sf_dir).where(open_rows("status", ("F",))).select("o_orderkey", "status")
 
 
@@ -342,10 +344,6 @@ def report_quarantine(spark, sf_dir):
 @query("SELECT 'a' AS source_instance, o_orderkey, o_orderstatus, o_totalprice FROM orders")
 def backfill_then_sync(spark, sf_dir):
     """A store that is filled from the orders as they were, then follows them: open ones settle and new ones come."""
-    from .pipeline import Runner
-    from .plans.resolve import Plan
-    from .sources.frames import FrameSource
-
     store = _temporary_store(spark)
     orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
     middle = orders.agg(F.max("o_orderkey")).first()[0] // 2
@@ -363,10 +361,6 @@ def backfill_then_sync(spark, sf_dir):
 
 
 def _temporary_store(spark):
-    import uuid
-
-    from .operators.store import TargetStore
-
     root = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/tidemark-checkpoints"
     return TargetStore(spark, f"{root.rstrip('/')}/store-{uuid.uuid4().hex}", buckets=8)
 

@@ -41,14 +41,18 @@ def follow(url: str, nudge: Callable[[], None], stop: threading.Event, first: fl
 
     def run():
         pause = first
+
+        def heard():
+            nonlocal pause
+            pause = first  # the connection works
+            nudge()
+
         while not stop.is_set():
             try:
-                listen(url, lambda: (nudge(), None)[1], stop)
+                listen(url, heard, stop)
             except OSError:
                 stop.wait(pause)
                 pause = min(2 * pause, longest)
-            else:
-                pause = first
 
     thread = threading.Thread(target=run, daemon=True)
     thread.start()
