@@ -1,9 +1,11 @@
 """Byte-pair encoding and decoding by a table of distinct words.
 
-Texts are cut before every single space that stands between two characters that aren't white
-space, where the pre-tokenizer starts a word whatever stands around. Arrow's dictionary encoding makes the chunk's
-table of distinct words; each is encoded once (words that a worker has met before, not again), and the
-ids are joined back by position. Decoding joins ids with the table of their byte pieces.
+Texts are cut before every single space that stands between two characters that aren't white space, where the
+pre-tokenizer starts a word whatever stands around. Spark gathers the distinct words of all chunks of texts; those that occur in
+more than one chunk are encoded once, into a table of words and ids, which is broadcast up to
+``TABLE_BYTES`` (beyond that, the words of most chunks; the others are encoded where they occur). A word of one chunk alone is encoded there,
+once as well. Ids are joined back by position: Arrow's dictionary encoding gives every word's place in the chunk's distinct
+words. Decoding joins ids with the table of their byte pieces.
 A text in which some cut isn't safe (white space beside a space, or an added token's string) is encoded whole.
 
 Defined results: null and empty texts have no ids and decode to the empty text; repeated rows and ids
@@ -12,19 +14,24 @@ give a row each.
 
 from __future__ import annotations
 
+import itertools
 import json
+import uuid
 from array import array
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ._arrow import flat, per_text, sha256, texts
+from ._arrow import chunks, flat, per_text, sha256, texts
+from ._repeats import stored
 
-#: Words whose ids a worker remembers from one chunk to the next.
-REMEMBERED = 400_000
+#: Words beside the table whose ids a worker remembers from one chunk to the next; bytes of the broadcast table; bytes of a chunk.
+REMEMBERED, TABLE_BYTES, CHUNK = 100_000, 48 << 20, 4 << 20
 _MODELS: dict[str, tuple] = {}
+_TABLES: dict[str, dict[str, bytes]] = {}
 #: White space of the pre-tokenizer's pattern, at either end of a word.
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -52,23 +59,76 @@ def _model(path: str):
     return _MODELS[path]
 
 
-def _encode(path: str, words: list[str]) -> list[bytes]:
-    """Ids of each of some distinct words, as little-endian 32-bit integers."""
+def _ids(model, words: list[str]) -> list[bytes]:
+    """Ids of words, as little-endian 32-bit integers."""
+    out: list[bytes] = []
+    for at in range(0, len(words), 4096):
+        out += [array("I", e.ids).tobytes() for e in model.encode_batch_fast(words[at : at + 4096], add_special_tokens=False)]
+    return out
+
+
+def _encode(path: str, words: list[str], table: dict[str, bytes]) -> list[bytes]:
+    """Ids of each of some distinct words: from the table, from memory, or from the tokenizer."""
     model, _, _, known = _model(path)
-    found = {}
-    missing = [w for w in words if w not in known]
-    for at in range(0, len(missing), 4096):
-        some = missing[at : at + 4096]
-        for w, e in zip(some, model.encode_batch_fast(some, add_special_tokens=False), strict=True):
-            found[w] = array("I", e.ids).tobytes()
-    out = [found[w] if w in found else known[w] for w in words]
+    missing = [w for w in words if w not in table and w not in known]
+    found = dict(zip(missing, _ids(model, missing), strict=True))
+    out = [table[w] if w in table else found[w] if w in found else known[w] for w in words]
     if len(known) + len(found) > REMEMBERED:
         known.clear()
-    known.update(found if len(found) <= REMEMBERED else {})
+    known.update(itertools.islice(found.items(), REMEMBERED))
     return out
 
 
-def encode_chunk(path: str, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def _unsafe(word: str) -> bool:
+    return not word or word.strip(_SPACE) != word
+
+
+def word_table(rows: DataFrame, path: str, max_bytes: int = 0):
+    """A broadcast (words, ids) of the words, each with the space before it, that more than one chunk of texts has."""
+    spark = rows.sparkSession
+
+    def split(batches):
+        for part in chunks(batches, limit=CHUNK):
+            found = pc.split_pattern(pc.fill_null(part.column("text"), ""), " ").flatten().dictionary_encode().dictionary
+            yield pa.RecordBatch.from_arrays([found.cast(pa.string())], names=["word"])
+
+    def encode(batches):
+        for batch in batches:
+            for at in range(0, len(batch), 20_000):
+                part = batch.slice(at, 20_000)
+                part = part.filter(pa.array([not _unsafe(w) for w in part.column("word").to_pylist()], pa.bool_()))
+                yield part.append_column("ids", pa.array(_ids(_model(path)[0], [" " + w for w in part.column("word").to_pylist()]), pa.binary()))
+
+    shared = rows.select("text").mapInArrow(split, "word string").groupBy("word").agg(F.count("*").alias("n")).where("n > 1")
+    encoded = stored(shared.mapInArrow(encode, "word string, n bigint, ids binary"), "words")
+    # by powers of two of the number of chunks, the commonest words that fit
+    level = F.floor(F.log2("n")).cast("int")
+    sizes = encoded.groupBy(level.alias("level")).agg(F.sum(F.octet_length("word") + F.octet_length("ids") + 8).alias("bytes")).orderBy(F.col("level").desc()).collect()
+    least, total = None, 0
+    for r in sizes:
+        total += r["bytes"]
+        if total > (max_bytes or TABLE_BYTES):
+            break
+        least = r["level"]
+    taken = encoded.where(level >= least).select("word", "ids").toArrow() if least is not None else None
+    return spark.sparkContext.broadcast((uuid.uuid4().hex, taken["word"].combine_chunks(), taken["ids"].combine_chunks()) if taken is not None and len(taken) else None)
+
+
+def _table(shared) -> dict[str, bytes]:
+    """The broadcast table as a worker uses it, made once."""
+    if shared is None or shared.value is None:
+        return {}
+    tag, words, ids = shared.value
+    if tag not in _TABLES:
+        _TABLES.clear()
+        own: dict[str, bytes] = {}
+        for at in range(0, len(words), 100_000):
+            own.update(zip((" " + w for w in words.slice(at, 100_000).to_pylist()), ids.slice(at, 100_000).to_pylist(), strict=True))
+        _TABLES[tag] = own
+    return _TABLES[tag]
+
+
+def encode_chunk(path: str, column: pa.Array, shared: dict[str, bytes] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(ids, offsets) of the texts of a column, in order."""
     _, added, _, _ = _model(path)
     column = pc.fill_null(column, "")
@@ -84,7 +144,7 @@ def encode_chunk(path: str, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     lead[at[:-1]] = True
     plain = flat_words.dictionary_encode()
     listed = plain.dictionary.to_pylist()
-    bad = np.fromiter((not w or w.strip(_SPACE) != w for w in listed), bool, len(listed))
+    bad = np.fromiter(map(_unsafe, listed), bool, len(listed))
     index = plain.indices.to_numpy().astype(np.int64)
     odd = odd.to_numpy(zero_copy_only=False) | (np.logical_or.reduceat(bad[index], at[:-1]) if n else np.zeros(0, bool))
     per_word = np.diff(at)
@@ -96,7 +156,7 @@ def encode_chunk(path: str, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     seen[code] = True
     used = np.flatnonzero(seen)
     code = (np.cumsum(seen) - 1)[code]
-    table = _encode(path, [" " + listed[i] if i < size else listed[i - size] for i in used])
+    table = _encode(path, [" " + listed[i] if i < size else listed[i - size] for i in used], shared or {})
     whole = np.flatnonzero(odd)
     table += [array("I", e.ids).tobytes() for i in whole for e in [_model(path)[0].encode(column[int(i)].as_py(), add_special_tokens=False)]]
     # one entry for each word, or for each text encoded whole, in order of the texts
@@ -132,18 +192,18 @@ def decode_chunk(path: str, ids: np.ndarray, offsets: np.ndarray) -> list[bytes]
 
 def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and ids (array of int) of every whole text."""
+    rows = texts(docs, id_col, text_col)
+    shared = word_table(rows, model_path)
 
     def work(part: pa.RecordBatch) -> list:
-        ids, offsets = encode_chunk(model_path, part.column("text"))
+        ids, offsets = encode_chunk(model_path, part.column("text"), _table(shared))
         return [pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.astype(np.int32)))]
 
-    return per_text(texts(docs, id_col, text_col), "ids array<int>", work)
+    return per_text(rows, "ids array<int>", work, limit=CHUNK)
 
 
 def decode(encoded: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """doc_id and text of arrays of ids; a null array is an empty text."""
-    from pyspark.sql import functions as F
-
     rows = encoded.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{ids_col}`"), F.array().cast("array<int>")).alias("ids"))
 
     def run(batches):
@@ -159,12 +219,15 @@ def decode(encoded: DataFrame, model_path: str, id_col: str = "doc_id", ids_col:
 def digest(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, and SHA-256 of the ids (little-endian, 32 bits) and of the decoded text; with_ids: the ids too."""
 
+    rows = texts(docs, id_col, text_col)
+    shared = word_table(rows, model_path)
+
     def work(part: pa.RecordBatch) -> list:
-        ids, offsets = encode_chunk(model_path, part.column("text"))
+        ids, offsets = encode_chunk(model_path, part.column("text"), _table(shared))
         raw = memoryview(np.ascontiguousarray(ids.astype("<u4")).view(np.uint8))
         shas = [sha256(raw[4 * a : 4 * b]) for a, b in zip(offsets, offsets[1:], strict=False)]
         out = [pa.array(np.diff(offsets)), pa.array(shas, pa.string()), pa.array([sha256(x) for x in decode_chunk(model_path, ids, offsets)], pa.string())]
         return [*out, pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.astype(np.int32)))] if with_ids else out
 
     fields = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return per_text(texts(docs, id_col, text_col), fields + ", ids array<int>" * with_ids, work, limit=4 << 20)
+    return per_text(rows, fields + ", ids array<int>" * with_ids, work, limit=CHUNK)
