@@ -7,7 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tidemark.llm import suffix_array, suffix_tree
+from tidemark.llm import _repeats, suffix_array, suffix_tree
 
 
 def sha(raw):
@@ -57,6 +57,14 @@ def test_words(corpus, texts, window):
     assert got == brute_words(texts, window)
 
 
+def test_hot_anchors(corpus, texts, monkeypatch):
+    monkeypatch.setattr(_repeats, "HOT_LEAST", 2)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_array.dedup(corpus, 40).collect()}
+    assert got == brute_bytes(texts, 40)
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in suffix_tree.dedup(corpus, 5).collect()}
+    assert got == brute_words(texts, 5)
+
+
 def test_odd_ids(odd_ids):
     got = sorted((r.n_bytes, r.n_removed) for r in suffix_array.dedup(odd_ids, 200).collect())
     assert got == [(0, 0), (0, 0), (486, 486), (486, 486), (486, 486)]

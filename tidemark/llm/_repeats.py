@@ -23,8 +23,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._arrow import BASE, INVERSE, chunks, mix, powers, span_hashes
+from ._arrow import INVERSE, chunks, mix, powers, span_hashes
+from ._sketch import places, sketch
 
+#: An anchor with fewer contexts is never hot; a hot one is dealt to so many places.
+HOT_LEAST, SALTS = 1000, 256
+_SALT = np.uint64(0xC2B2AE3D27D4EB4F)
 _MADE: list[tuple[SparkSession, str]] = []
 
 
@@ -119,18 +123,32 @@ def contexts(sums: np.ndarray, offsets: np.ndarray, k: int, win: int) -> tuple[n
     return gram[owner[new]], span_hashes(sums, start, start + count + win - 1), start, count
 
 
-def rows_of(part: pa.RecordBatch, found: tuple[np.ndarray, ...], offsets: np.ndarray) -> pa.RecordBatch:
-    """Contexts as rows (key, digest, rid, doc_id, start, n), starts counted from the text's first symbol."""
+def hot_anchors(rows: DataFrame, find, limit: int) -> np.ndarray:
+    """Which counters of a sketch belong to anchors that may hold a share of 1 / 4096 of all contexts or more.
+
+    find gives the contexts of a chunk, as ``contexts`` does. There are at most a few thousand such anchors.
+    """
+    counts = sketch(rows.select("text"), lambda part: find(part)[0], (_SALT,), limit)[0]
+    return counts >= max(HOT_LEAST, int(counts.sum(dtype=np.int64)) >> 12)
+
+
+def salted(found: DataFrame) -> DataFrame:
+    """found with ``salt``: hot anchors are spread by their texts; they count as repeated anyway, so no task needs all of one."""
+    return found.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("rid"), F.lit(SALTS))).otherwise(0).cast("int"))
+
+
+def rows_of(part: pa.RecordBatch, found: tuple[np.ndarray, ...], offsets: np.ndarray, hot: np.ndarray) -> pa.RecordBatch:
+    """Contexts as rows (key, digest, rid, doc_id, start, n, hot), starts counted from the text's first symbol."""
     key, digest, start, count = found
     doc = np.searchsorted(offsets, start, side="right") - 1
     rid, doc_id = part.column("rid").to_numpy(zero_copy_only=False), part.column("doc_id")
     return pa.RecordBatch.from_arrays(
-        [pa.array(key.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(rid[doc].astype(np.int64)), doc_id.take(pa.array(doc)), pa.array((start - offsets[doc]).astype(np.int32)), pa.array(count.astype(np.int32))],
-        names=["key", "digest", "rid", "doc_id", "start", "n"],
+        [pa.array(key.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(rid[doc].astype(np.int64)), doc_id.take(pa.array(doc)), pa.array((start - offsets[doc]).astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(hot[places(key, _SALT)])],
+        names=["key", "digest", "rid", "doc_id", "start", "n", "hot"],
     )
 
 
-CONTEXT = "key bigint, digest bigint, rid bigint, doc_id bigint, start int, n int"
+CONTEXT = "key bigint, digest bigint, rid bigint, doc_id bigint, start int, n int, hot boolean"
 
 
 def keyed_groups(batches, limit: int):
@@ -157,5 +175,3 @@ def keyed_groups(batches, limit: int):
     if held:
         yield pa.Table.from_batches(held).combine_chunks()
 
-
-__all__ = ["BASE", "CONTEXT", "contexts", "identified", "keyed_groups", "packed", "rows_of", "shared_dir", "stored", "unpack"]

@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._arrow import BASE, covered, flat, mix, powers, prefix_sums, runs, sha256
-from ._repeats import contexts, identified, keyed_groups, packed, rows_of, stored, unpack
+from ._arrow import BASE, chunks, covered, flat, mix, powers, prefix_sums, runs, sha256
+from ._repeats import contexts, hot_anchors, identified, keyed_groups, packed, rows_of, salted, stored, unpack
 
 #: Bytes of the anchoring grams, and of a shard; an anchor's contexts stay in one shard.
 GRAM, SHARD = 50, 2 << 20
@@ -222,19 +222,23 @@ def dedup(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col:
     rows = identified(docs, id_col, text_col)
     gram = min(GRAM, length)
 
-    def find(batches):
-        from ._arrow import chunks
+    def anchored(part):
+        data, offsets = flat(part.column("text"))
+        return *contexts(prefix_sums(data), offsets, gram, length), offsets
+
+    hot = spark.sparkContext.broadcast(hot_anchors(rows, anchored, 1 << 19))
 
+    def find(batches):
         for part in chunks(batches, limit=1 << 19):
-            data, offsets = flat(part.column("text"))
-            yield rows_of(part, contexts(prefix_sums(data), offsets, gram, length), offsets).drop_columns(["doc_id"])
+            *found, offsets = anchored(part)
+            yield rows_of(part, tuple(found), offsets, hot.value).drop_columns(["doc_id"])
 
-    found = rows.mapInArrow(find, "key bigint, digest bigint, rid bigint, start int, n int")
-    by_key, by_context = Window.partitionBy("key"), Window.partitionBy("key", "digest").orderBy("rid", "start")
+    found = salted(rows.mapInArrow(find, "key bigint, digest bigint, rid bigint, start int, n int, hot boolean"))
+    by_key, by_context = Window.partitionBy("key", "salt"), Window.partitionBy("key", "salt", "digest").orderBy("rid", "start")
     # repeated anchors only; the first place of each context stands for its copies
-    repeated = found.withColumn("place", F.row_number().over(by_context)).withColumn("m", F.count("*").over(by_key)).where("m > 1").drop("m")
+    repeated = found.withColumn("place", F.row_number().over(by_context)).withColumn("m", F.count("*").over(by_key)).where("hot or m > 1").drop("m", "salt", "hot")
     repeated = stored(repeated, "contexts")
-    copies = repeated.where("place <= 2").groupBy("key", "digest").agg(F.min_by(F.struct("rid", "start", "n"), "place").alias("x"), F.max("place").alias("weight"))
+    copies = repeated.where("place <= 2").groupBy("key", "digest").agg(F.min_by(F.struct("rid", "start", "n"), "rid").alias("x"), F.least(F.count("*"), F.lit(2)).cast("int").alias("weight"))
     wanted = copies.select("key", "digest", "x.*", "weight").groupBy("rid").agg(F.collect_list(F.struct("key", "digest", "start", "n", "weight")).alias("wanted"))
     compressed = packed(rows)
 

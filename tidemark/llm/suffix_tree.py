@@ -15,14 +15,15 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._arrow import NOT_SPACE, covered, flat, prefix_sums, runs, sha256, span_hashes, words
-from ._repeats import CONTEXT, contexts, identified, keyed_groups, packed, rows_of, stored, unpack
+from ._arrow import NOT_SPACE, chunks, covered, flat, prefix_sums, runs, sha256, span_hashes, words
+from ._repeats import CONTEXT, contexts, hot_anchors, identified, keyed_groups, packed, rows_of, salted, stored, unpack
 
 #: Words of the anchoring grams; bytes of contexts that a task holds; suffixes of a group.
-GRAM, SHARD, GROUP = 5, 4 << 20, 1 << 17
+GRAM, SHARD, GROUP = 5, 2 << 20, 1 << 17
 #: Stands for a null id: larger than any other.
 LAST = (1 << 63) - 1
 
@@ -94,20 +95,25 @@ def dedup(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: s
     rows = identified(docs, id_col, text_col)
     gram = min(GRAM, window)
 
-    def find(batches):
-        from ._arrow import chunks
+    def anchored(part):
+        data, offsets = flat(part.column("text"))
+        starts, ends, first = words(data, offsets, NOT_SPACE)
+        hashed = span_hashes(prefix_sums(data), starts, ends) if len(starts) else np.zeros(0, np.uint64)
+        return *contexts(prefix_sums(hashed), first, gram, window), first
+
+    hot = spark.sparkContext.broadcast(hot_anchors(rows, anchored, 1 << 20))
 
+    def find(batches):
         for part in chunks(batches, limit=1 << 20):
-            data, offsets = flat(part.column("text"))
-            starts, ends, first = words(data, offsets, NOT_SPACE)
-            hashed = span_hashes(prefix_sums(data), starts, ends) if len(starts) else np.zeros(0, np.uint64)
-            yield rows_of(part, contexts(prefix_sums(hashed), first, gram, window), first)
+            *found, first = anchored(part)
+            yield rows_of(part, tuple(found), first, hot.value)
 
-    found = rows.mapInArrow(find, CONTEXT).withColumn("doc_id", F.coalesce("doc_id", F.lit(LAST)))
-    by_key, by_context = Window.partitionBy("key"), Window.partitionBy("key", "digest").orderBy("doc_id", "rid", "start")
+    found = salted(rows.mapInArrow(find, CONTEXT).withColumn("doc_id", F.coalesce("doc_id", F.lit(LAST))))
+    by_key, by_context = Window.partitionBy("key", "salt"), Window.partitionBy("key", "salt", "digest").orderBy("doc_id", "rid", "start")
     repeated = found.withColumn("place", F.row_number().over(by_context)).withColumn("low", F.min("doc_id").over(by_key)).withColumn("high", F.max("doc_id").over(by_key))
-    repeated = stored(repeated.where("low < high").drop("low", "high"), "contexts")
-    wanted = repeated.where("place = 1").groupBy("rid").agg(F.collect_list(F.struct("key", "digest", "start", "n", "doc_id")).alias("wanted"))
+    repeated = stored(repeated.where("hot or low < high").drop("low", "high", "salt", "hot"), "contexts")
+    copies = repeated.where("place = 1").groupBy("key", "digest").agg(F.min(F.struct("doc_id", "rid", "start", "n")).alias("x"))
+    wanted = copies.select("key", "digest", "x.*").groupBy("rid").agg(F.collect_list(F.struct("key", "digest", "start", "n", "doc_id")).alias("wanted"))
     compressed = packed(rows)
 
     def cut(batches):
@@ -130,10 +136,11 @@ def dedup(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: s
 
     def subtrees(batches):
         for group in keyed_groups(batches, SHARD):
-            data, offsets = flat(group.column("text"))
-            starts, ends, first = words(data, offsets, NOT_SPACE)
-            text = _numbers(data, starts, ends)
-            inside = np.arange(len(starts)) - np.repeat(first[:-1], np.diff(first))
+            split = pc.split_pattern(group.column("text").combine_chunks().cast(pa.large_string()), " ")
+            # a number for each distinct word; contexts are words joined by single spaces
+            text = split.flatten().dictionary_encode().indices.to_numpy().astype(np.int64)
+            first = split.offsets.to_numpy().astype(np.int64)
+            inside = np.arange(len(text)) - np.repeat(first[:-1], np.diff(first))
             owned = np.flatnonzero(inside < np.repeat(group.column("n").to_numpy(), np.diff(first)))
             least = np.repeat(group.column("least").to_numpy(), np.diff(first))
             low = least_ids(text, owned, least, window)[owned]
@@ -173,13 +180,6 @@ def dedup(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: s
     return compressed.join(spans, "rid", "left").select("doc_id", "z", "spans").mapInArrow(finish, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept string")
 
 
-def _numbers(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A number for each word, the same for the same bytes."""
-    raw = data.tobytes()
-    column = pa.array([raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], pa.large_binary())
-    return column.dictionary_encode().indices.to_numpy().astype(np.int64) if len(column) else np.zeros(0, np.int64)
-
-
 def _batch(out: list[tuple]) -> pa.RecordBatch:
     kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
     return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], kind) for i, kind in enumerate(kinds)], names=["key", "digest", "n", "least", "text"])
