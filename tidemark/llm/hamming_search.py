@@ -56,6 +56,10 @@ def masks(width: int, radius: int) -> list[int]:
     return [sum(1 << i for i in chosen) for chosen in itertools.combinations(range(width), radius)]
 
 
+def _flipped(value: Column, flips: str) -> Column:
+    return F.transform(F.expr(f"array({flips})"), lambda mask: value.bitwiseXOR(mask))
+
+
 def _segment(code: Column, cut: tuple[int, int]) -> Column:
     return F.shiftrightunsigned(code, cut[0]).bitwiseAND(F.lit((1 << cut[1]) - 1))
 
@@ -129,10 +133,10 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, bits: int = 32,
     while True:
         probes = []
         for i, cut in enumerate(segments):
-            flips = masks(cut[1], radius)
+            flips = ", ".join(f"{m}L" for m in masks(cut[1], radius))
             if flips:
                 value = _segment(F.col("query"), cut)
-                probes.append(state.select(F.lit(i).alias("segment"), F.explode(F.array(*(value.bitwiseXOR(F.lit(m)) for m in flips))).alias("value"), F.col("query").alias("code"), F.col("bound").cast("bigint").alias("least")).withColumn("bucket", _bucket(F.col("value"), cut[1])))
+                probes.append(state.select(F.lit(i).alias("segment"), F.explode(_flipped(value, flips)).alias("value"), F.col("query").alias("code"), F.col("bound").cast("bigint").alias("least")).withColumn("bucket", _bucket(F.col("value"), cut[1])))
         if probes:
             asked_for = probes[0]
             for p in probes[1:]:
