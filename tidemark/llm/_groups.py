@@ -7,9 +7,11 @@ there an inverted index counts overlaps, and links come out as each set's link t
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._repeats import stored
@@ -21,7 +23,9 @@ MEMBER = "lead bigint, band int, low int, high int, block int, rid bigint, token
 
 def buckets(postings: DataFrame) -> DataFrame:
     """(token, rid, n, m) of (token, rid, n): those of tokens that m > 1 sets have."""
-    return stored(postings.withColumn("m", F.count("*").over(Window.partitionBy("token"))).where("m > 1"), "postings")
+    # counts are summed before the shuffle, and the join splits hot tokens
+    counts = postings.groupBy("token").agg(F.count("*").alias("m")).where("m > 1")
+    return stored(postings.join(counts, "token"), "postings")
 
 
 def small_pairs(postings: DataFrame, percent: int = 0) -> DataFrame:
@@ -44,30 +48,101 @@ def blocked(members: DataFrame) -> DataFrame:
     return members.select("rid", F.struct("lead", "band", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block").alias("g"))
 
 
-def meet(gathered: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links of MEMBER rows whose sets share percent of their union or more."""
-    place = ["lead", "band", "low", "high"]
+PLACE = ("lead", "band", "low", "high")
+#: Rows of a batch that goes back from a task.
+_OUT = 8192
+
+
+def _groups(batches, columns):
+    """(place, rows) of sorted batches; columns gives a batch's other columns, row by row. A group is done when the next begins."""
+    key, held = None, []
+    for batch in batches:
+        for row in zip(*(batch.column(c).to_pylist() for c in PLACE), *columns(batch), strict=True):
+            if row[:4] != key and held:
+                yield key, held
+                held = []
+            key = row[:4]
+            held.append(row[4:])
+    if held:
+        yield key, held
+
+
+def _batched(rows, kinds: dict):
+    """Batches of many rows each, of an iterator of lists of rows."""
+    out: list[tuple] = []
+    for more in itertools.chain(rows, [None]):
+        out += more or ()
+        if len(out) >= _OUT or more is None and out:
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], kind) for i, kind in enumerate(kinds.values())], names=list(kinds))
+            out = []
+
+
+def screen(gathered: DataFrame, percent: int) -> DataFrame:
+    """(rid, g) of the places at which a set may have a link, of rows with n and both orders' prefixes (first, second).
+
+    Tokens before the last one of the prefix that ends earlier in the order can only meet in both prefixes. So a link needs as many
+    common prefix tokens as the rest of the larger set can't make up for, under either order.
+    """
+    def columns(batch):
+        lists = []
+        for c in ("first", "second"):
+            column = batch.column(c)
+            ends, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+            lists.append([np.sort(values[a:b].view(np.uint64)) for a, b in zip(ends, ends[1:], strict=False)])
+        return *(batch.column(c).to_pylist() for c in ("block", "rid", "n")), *lists
 
     def run(batches):
-        held: list[tuple] = []
-        key = None
-        for batch in batches:  # sorted: a group is done when the next begins
-            columns = [batch.column(c).to_pylist() for c in (*place, "block", "rid", "tokens")]
-            for row in zip(*columns, strict=True):
-                if row[:4] != key and held:
-                    yield _linked(held, key, percent)
-                    held = []
-                key = row[:4]
-                held.append(row[4:])
-        if held:
-            yield _linked(held, key, percent)
+        yield from _batched((_screened(held, key, percent) for key, held in _groups(batches, columns)), dict.fromkeys(PLACE, pa.int32()) | {"lead": pa.int64(), "block": pa.int32(), "rid": pa.int64()})
 
     parts = int(gathered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return gathered.repartition(parts, *place).sortWithinPartitions(*place, "rid").mapInArrow(run, "a bigint, b bigint")
+    rows = gathered.repartition(parts, *PLACE).sortWithinPartitions(*PLACE, "rid").mapInArrow(run, "lead bigint, band int, low int, high int, block int, rid bigint")
+    return rows.select("rid", F.struct(*PLACE, "block").alias("g"))
+
+
+def _screened(held: list[tuple], key: tuple, percent: int) -> list[tuple]:
+    """Rows (place, block, rid) of a group's sets that may have a link."""
+    inner = key[2] == key[3]
+    probes = [i for i, x in enumerate(held) if inner or x[0] == key[2]]
+    members = probes if inner else [i for i, x in enumerate(held) if x[0] == key[3]]
+    size = np.array([x[2] for x in held])
+    rest = size - np.array([len(x[3]) for x in held])
+    alive = np.zeros(len(held), bool)
+    # the second order is asked only for sets that the first one leaves
+    for p, common in zip(probes, overlaps([held[i][3] for i in members], [held[i][3] for i in probes]), strict=True):
+        need = -(-percent * (size[p] + size[members]) // (100 + percent)) - np.maximum(rest[p], rest[members])
+        near = np.flatnonzero(common >= np.maximum(need, 1))
+        for j in near:
+            m = members[j]
+            if m != p and not (alive[p] and alive[m]):
+                both = len(np.intersect1d(held[p][4], held[m][4], assume_unique=True))
+                if both >= max(1, need[j]):
+                    alive[[p, m]] = True
+    return [(*key, held[i][0], held[i][1]) for i in np.flatnonzero(alive).tolist()]
+
+
+def hashes(raw: list[bytes]) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.uint64) for x in raw]
+
+
+def meet(gathered: DataFrame, percent: int, read=hashes) -> DataFrame:
+    """(a, b): links of MEMBER rows whose sets share percent of their union or more; read makes sets of what ``tokens`` holds."""
+
+    def columns(batch):
+        return *(batch.column(c).to_pylist() for c in ("block", "rid")), read(batch.column("tokens").to_pylist())
+
+    def run(batches):
+        yield from _batched((_linked(held, key, percent) for key, held in _groups(batches, columns)), {"a": pa.int64(), "b": pa.int64()})
+
+    parts = int(gathered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return gathered.repartition(parts, *PLACE).sortWithinPartitions(*PLACE, "rid").mapInArrow(run, "a bigint, b bigint")
 
 
 def overlaps(members: list[np.ndarray], probes: list[np.ndarray]):
-    """For each probe, its numbers of common tokens with all members (both: distinct tokens)."""
+    """For each probe, its numbers of common tokens with all members (both: distinct tokens, ascending)."""
+    if len(members) <= 6:
+        for probe in probes:
+            yield np.array([len(probe) if m is probe else len(np.intersect1d(probe, m, assume_unique=True)) for m in members])
+        return
     tokens = np.concatenate(members) if members else np.zeros(0, np.uint64)
     owner = np.repeat(np.arange(len(members)), [len(m) for m in members])
     order = np.argsort(tokens, kind="stable")
@@ -79,16 +154,8 @@ def overlaps(members: list[np.ndarray], probes: list[np.ndarray]):
         yield np.bincount(owner[at], minlength=len(members))
 
 
-def _linked(held: list[tuple], key: tuple, percent: int) -> pa.RecordBatch:
+def _linked(held: list[tuple], key: tuple, percent: int) -> list[tuple]:
     """Links of a group's sets, as each one's link to the least set that it is connected with here."""
-    inner = key[2] == key[3]
-    probes = [(r, np.frombuffer(t, np.uint64)) for block, r, t in held if inner or block == key[2]]
-    members = probes if inner else [(r, np.frombuffer(t, np.uint64)) for block, r, t in held if block == key[3]]
-    sizes = np.array([len(t) for _, t in members])
-    found = []
-    for (rid, tokens), common in zip(probes, overlaps([t for _, t in members], [t for _, t in probes]), strict=True):
-        near = np.flatnonzero(100 * common >= percent * (sizes + len(tokens) - common))
-        found += [(rid, members[i][0]) for i in near if members[i][0] != rid]
     parent: dict[int, int] = {}
 
     def root(x):
@@ -96,12 +163,27 @@ def _linked(held: list[tuple], key: tuple, percent: int) -> pa.RecordBatch:
             parent[x] = x = parent[parent[x]]
         return x
 
-    for a, b in found:
-        a, b = root(a), root(b)
-        if a != b:
-            parent[max(a, b)] = min(a, b)
-    out = [(x, root(x)) for x in sorted(parent) if root(x) != x]
-    return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], names=["a", "b"])
+    def probe(members, some):
+        """Links members with those of some that are near; says which of them had one."""
+        sizes, linked = np.array([len(t) for _, t in members]), set()
+        for (rid, tokens), common in zip(some, overlaps([t for _, t in members], [t for _, t in some]), strict=True):
+            for i in np.flatnonzero(100 * common >= percent * (sizes + len(tokens) - common)):
+                other = members[i][0]
+                linked.add(other)
+                a, b = root(rid), root(other)
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+        return linked
+
+    sets = [(r, t) for _, r, t in held]
+    if key[2] != key[3]:
+        probe([(r, t) for block, r, t in held if block == key[3]], [(r, t) for block, r, t in held if block == key[2]])
+    else:
+        # one set against all: those that it links with are one component; every other one is held against all as well
+        near = probe(sets, sets[:1])
+        if rest := [x for x in sets[1:] if x[0] not in near]:
+            probe(sets, rest)
+    return [(x, root(x)) for x in sorted(parent) if root(x) != x]
 
 
 def member_batch(out: list[tuple]) -> pa.RecordBatch:

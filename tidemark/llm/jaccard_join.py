@@ -2,11 +2,12 @@
 
 Two sets with 100 * intersection >= percent * union share a token among each one's first n - ceil(n * percent / 100) + 1
 tokens, under any order that all sets have in common. Two such orders are used, both rare tokens first: frequencies come from a
-sketch of fixed size over all rows (sums of hashed counts), the orders differ in the sketch's hash and in how
+sketch of fixed size over all rows (the lesser of two hashed counts); the orders differ in how finely they take frequencies and in how
 ties go. A pair of the first order's small buckets must turn up under the second one as well before it is verified.
 
 A bucket of more than a few sets never becomes pairs: its sets, by bands of like size, form a group around its
-least member. Groups meet in one task each (in blocks, every block against every other, where a group is large), where
+least member. A group's sets are first screened by their prefixes: a link takes as many common prefix tokens, under
+either order, as the rests of the sets can't make up for. Those that may have a link meet in one task (in blocks, every block against every other, where a group is large), where
 exact overlaps are counted through an inverted index, and come out as links to the group's least connected
 member. Equal sets are one node. Components are the links' connected components.
 
@@ -21,17 +22,17 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ._arrow import LOWER, NOT_SPACE, chunks, flat, mix, prefix_sums, span_hashes, words
-from ._groups import MEMBER, SMALL, blocked, buckets, meet, member_batch, pair_members, small_pairs
+from ._groups import MEMBER, SMALL, blocked, buckets, meet, member_batch, pair_members, screen, small_pairs
 from ._repeats import identified, packed, stored, unpack
+from ._sketch import places, sketch as count_sketch
 from .components import components
 
-#: Counters of the sketch, and the slices it travels in.
-SKETCH, SLICES = 1 << 20, 64
+#: Make the orders, and the digests of sets, independent of each other.
 _SALTS = (np.uint64(0x8EBC6AF09C88C6E3), np.uint64(0x589965CC75374CC3))
 
 
@@ -58,33 +59,6 @@ def sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.
     return hashed, np.searchsorted(text, np.arange(len(offsets)))
 
 
-def _sketch(rows: DataFrame, n: int) -> np.ndarray:
-    """Counts of all shingles, by hash; one row of counters for each order."""
-
-    def count(batches):
-        total = np.zeros((2, SKETCH), np.int64)
-        for part in chunks(batches, limit=1 << 20):
-            hashed, _ = shingles(*flat(part.column("text")), n)
-            for i, salt in enumerate(_SALTS):
-                total[i] += np.bincount((mix(hashed ^ salt) >> np.uint64(44)).astype(np.int64), minlength=SKETCH)
-        pieces = np.minimum(total, (1 << 31) - 1).astype(np.int32).reshape(2 * SLICES, -1)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(pieces), dtype=np.int32)), pa.array([p.tobytes() for p in pieces], pa.binary())], names=["slice", "counts"])
-
-    def add(batches):
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for i, raw in zip(batch.column("slice").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                total[i] = total.get(i, 0) + np.frombuffer(raw, np.int32).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([np.minimum(x, (1 << 31) - 1).astype(np.int32).tobytes() for x in total.values()], pa.binary())], names=["slice", "counts"])
-
-    schema = "slice int, counts binary"
-    out = np.zeros((2 * SLICES, SKETCH // SLICES), np.int32)
-    # twice a fixed 4 MB, however long the table
-    for r in rows.select("text").mapInArrow(count, schema).repartition(SLICES, "slice").mapInArrow(add, schema).collect():
-        out[r["slice"]] = np.frombuffer(r["counts"], np.int32)
-    return out.reshape(2, SKETCH)
-
-
 def _prefixes(rows: DataFrame, sketch, n: int, percent: int) -> DataFrame:
     """(rid, doc_id, n, d1, d2, first, second): size, digests and both orders' prefixes of each set."""
 
@@ -102,10 +76,10 @@ def _prefixes(rows: DataFrame, sketch, n: int, percent: int) -> DataFrame:
                 if len(full):
                     sums[full] = np.add.reduceat(mix(hashed + salt), first[full])
                 columns.append(pa.array(sums.view(np.int64)))
-            lists = []
+            lists, counts = [], np.minimum(*(sketch.value[i][places(hashed, salt)] for i, salt in enumerate(_SALTS)))
             for i, salt in enumerate(_SALTS):
                 salted = mix(hashed ^ salt)
-                rare = sketch.value[i][(salted >> np.uint64(44)).astype(np.int64)]
+                rare = counts if i == 0 else np.frexp(counts)[1]  # the second order takes frequencies by powers of two
                 order = np.lexsort((salted, rare, text))
                 rank = np.arange(len(text)) - first[text]
                 chosen = hashed[order][rank < take[text]]
@@ -118,13 +92,16 @@ def _prefixes(rows: DataFrame, sketch, n: int, percent: int) -> DataFrame:
 def _components(rows: DataFrame, n: int, percent: int) -> DataFrame:
     """(rid, doc_id, n, root, links) of (rid, doc_id, text); root: the same for all of a component."""
     spark = rows.sparkSession
-    sketch = spark.sparkContext.broadcast(_sketch(rows, n))
-    same = Window.partitionBy("n", "d1", "d2").orderBy("rid")
-    heads = _prefixes(rows, sketch, n, percent)
-    heads = heads.withColumn("rep", F.when(F.col("n") > 0, F.first("rid").over(same)).otherwise(F.col("rid")))
-    heads = heads.withColumn("first", F.when(F.col("rep") == F.col("rid"), F.col("first"))).withColumn("second", F.when(F.col("rep") == F.col("rid"), F.col("second")))
-    heads = stored(heads.drop("d1", "d2"), "sets")
-    first, second = (buckets(heads.select(F.explode(c).alias("token"), "rid", "n")) for c in ("first", "second"))
+    counted = count_sketch(rows.select("text"), lambda part: shingles(*flat(part.column("text")), n)[0], _SALTS, 1 << 20)
+    sketch = spark.sparkContext.broadcast(counted)
+    heads = stored(_prefixes(rows, sketch, n, percent), "sets")
+    # equal sets are one node: their least rid (aggregated before the shuffle, joined back with hot classes split)
+    classes = heads.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("rid").alias("rep"))
+    own = heads.where("n > 0").select("rid", "doc_id", "n", "d1", "d2").join(classes, ["n", "d1", "d2"]).select("rid", "doc_id", "n", "rep")
+    nodes = stored(own.unionByName(heads.where("n = 0").select("rid", "doc_id", "n", F.col("rid").alias("rep"))), "nodes")
+    reps = heads.join(nodes.where("rep = rid").select("rid"), "rid", "left_semi")
+    prefixes = stored(reps.where("n > 0").select("rid", "n", "first", "second"), "prefixes")
+    first, second = (buckets(prefixes.select(F.explode(c).alias("token"), "rid", "n")) for c in ("first", "second"))
     # small buckets: pairs that both orders admit; a pair may meet in a large bucket of the second order instead
     crowd = second.where(F.col("m") > SMALL).select("rid").distinct()
     admitted = small_pairs(second, percent).withColumn("seen", F.lit(True))
@@ -138,8 +115,10 @@ def _components(rows: DataFrame, n: int, percent: int) -> DataFrame:
     large = first.where(F.col("m") > SMALL).select("token", "rid", F.explode(F.array(band, band + 1)).alias("band"))
     large = large.join(large.groupBy("token", "band").agg(F.min("rid").alias("lead"), F.count("*").alias("own")).where("own > 1"), ["token", "band"])
     members = near.union(large.select("lead", "band", "rid")).distinct()
-    members = members.join(heads.where("rep = rid").select("rid", "n"), "rid")
+    members = members.join(prefixes.select("rid", "n"), "rid")
     members = blocked(stored(members, "members"))
+    screened = members.join(prefixes, "rid").select("g.*", "rid", "n", "first", "second")
+    members = stored(screen(screened, percent), "screened")
     wanted = members.groupBy("rid").agg(F.collect_list("g").alias("groups"))
 
     def fetch(batches):
@@ -161,7 +140,7 @@ def _components(rows: DataFrame, n: int, percent: int) -> DataFrame:
     links = stored(meet(gathered, percent), "links")
     roots = components(links)
     degree = links.select("a").union(links.select("b")).groupBy("a").agg(F.count("*").alias("links")).withColumnRenamed("a", "node")
-    found = heads.select("rid", "doc_id", "n", "rep").join(roots.join(degree, "node").withColumnRenamed("node", "rep"), "rep", "left")
+    found = nodes.join(roots.join(degree, "node").withColumnRenamed("node", "rep"), "rep", "left")
     return found.select("rid", "doc_id", "n", F.coalesce("root", "rep").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
 
 

@@ -1,7 +1,7 @@
 """Fuzzy line dedup by MinHash.
 
-Lines are cut at line feeds; a line that is blank but for white space is layout and stays. Equal lines fold into
-one node with its first place. Each distinct line gets a MinHash signature over its character shingles;
+Lines are cut at line feeds; a line that is blank but for white space is layout and stays. Equal lines (by 64-bit digest) fold into
+one node with its first place, within chunks of texts before any shuffle. Each distinct line gets a MinHash signature over its character shingles;
 bands of it are bucketed (``BANDS`` of ``ROWS`` hashes: at similarity 0.8 a pair meets with probability 0.9998, at
 0.75 with 0.998), candidates are verified by the exact Jaccard similarity of their shingle sets, and the links'
 connected components (distributed union-find) keep the line that comes first, by id and line number; the others go.
@@ -15,12 +15,13 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ._arrow import INVERSE, chunks, mix, powers, prefix_sums, sha256
-from ._groups import MEMBER, SMALL, blocked, buckets, meet, member_batch, pair_members, small_pairs
+from ._groups import MEMBER, blocked, meet, member_batch
 from ._repeats import identified, packed, stored, unpack
 from .components import components
 
@@ -54,46 +55,59 @@ def signatures(hashes: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def _digest(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    import xxhash
+def _digest(lines: list[str]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) for x in lines), np.uint64, len(lines)).view(np.int64)
 
-    both = np.frombuffer(b"".join([xxhash.xxh3_128_digest(x.encode("utf-8", "surrogatepass")) for x in lines]), "<i8").reshape(-1, 2)
-    return both[:, 0], both[:, 1]
+
+def _distinct(part: pa.RecordBatch) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """(lines, rid, number): a chunk's distinct lines that aren't blank, each with its first place by rid."""
+    lines = pc.split_pattern(pc.fill_null(part.column("text"), ""), "\n")
+    text = pc.list_parent_indices(lines).to_numpy()
+    flat = pc.list_flatten(lines)
+    folded = flat.dictionary_encode()
+    listed, index = folded.dictionary.to_pylist(), folded.indices.to_numpy()
+    number = np.arange(len(flat)) - np.searchsorted(text, np.arange(len(lines)))[text] if len(flat) else np.zeros(0, np.int64)
+    rid = part.column("rid").to_numpy(zero_copy_only=False).astype(np.int64)[text]
+    order = np.lexsort((number, rid, index))
+    full = np.array([i for i, x in enumerate(listed) if x.strip(_BLANK)], np.int64)
+    where = order[np.searchsorted(index[order], full)] if len(full) else full
+    return [listed[i] for i in full], rid[where], number[where]
+
+
+def _line_sets(lines: list[bytes]) -> list[np.ndarray]:
+    """Each line's distinct shingles, ascending; all lines of a batch in one go."""
+    hashed, first = shingles([x.decode() for x in lines], SHINGLE)
+    owner = np.repeat(np.arange(len(lines)), np.diff(first))
+    order = np.lexsort((hashed, owner))
+    hashed, owner = hashed[order], owner[order]
+    new = np.concatenate(([True], (hashed[1:] != hashed[:-1]) | (owner[1:] != owner[:-1]))) if len(hashed) else np.zeros(0, bool)
+    edges = np.searchsorted(owner[new], np.arange(len(lines) + 1))
+    hashed = hashed[new]
+    return [hashed[a:b].copy() for a, b in zip(edges, edges[1:], strict=False)]
 
 
 def _kept_lines(rows: DataFrame, percent: int) -> DataFrame:
     """(rid, lines): the line numbers that stay, of texts with lines that aren't blank."""
-    bands = ", ".join(f"b{i} bigint" for i in range(BANDS))
+    rows = rows.select("rid", "text")
+
+    def place(batches):
+        for part in chunks(batches, limit=1 << 19):
+            lines, rid, number = _distinct(part)
+            yield pa.RecordBatch.from_arrays([pa.array(_digest(lines)), pa.array(rid), pa.array(number.astype(np.int32)), pa.array(np.fromiter(map(len, lines), np.int32, len(lines)))], names=["node", "rid", "line", "n"])
 
-    def cut(batches):
+    def sign(batches):
         for part in chunks(batches, limit=1 << 19):
-            lines = pc.split_pattern(pc.fill_null(part.column("text"), ""), "\n")
-            text = pc.list_parent_indices(lines).to_numpy()
-            flat = pc.list_flatten(lines)
-            number = np.arange(len(flat)) - np.searchsorted(text, np.arange(len(lines)))[text] if len(flat) else np.zeros(0, np.int64)
-            folded = flat.dictionary_encode()  # a line that a chunk repeats counts once, at its first place
-            index = folded.indices.to_numpy()
-            seen, where = np.unique(index, return_index=True)
-            listed = folded.dictionary.to_pylist()
-            full = [i for i, s in enumerate(seen) if listed[s].strip(_BLANK)]
-            if not full:
-                continue
-            where, own = where[full], [listed[s] for s in seen[full]]
-            # chunks are in the table's order, ids need not be: the least id of a chunk that has the line
-            rid = part.column("rid").to_numpy(zero_copy_only=False).astype(np.int64)[text]
-            order = np.lexsort((number, rid, index))
-            where = order[np.searchsorted(index[order], seen[full])]
-            hashes, first = shingles(own, SHINGLE)
-            columns = [*_digest(own), rid[where], number[where].astype(np.int32), np.fromiter(map(len, own), np.int32, len(own)), *(x.view(np.int64) for x in signatures(hashes, first))]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["d1", "d2", "rid", "line", "n", *(f"b{i}" for i in range(BANDS))])
-
-    lines = rows.select("rid", "text").mapInArrow(cut, f"d1 bigint, d2 bigint, rid bigint, line int, n int, {bands}")
-    nodes = lines.groupBy("d1", "d2").agg(F.min(F.struct("rid", "line")).alias("place"), *(F.min(c).alias(c) for c in ("n", *(f"b{i}" for i in range(BANDS)))))
-    nodes = stored(nodes.drop("d1", "d2").withColumn("node", F.monotonically_increasing_id()), "lines")
-    postings = buckets(nodes.select(F.explode(F.array(*(f"b{i}" for i in range(BANDS)))).alias("token"), F.col("node").alias("rid"), "n"))
-    large = postings.where(F.col("m") > SMALL)
-    large = large.join(large.groupBy("token").agg(F.min("rid").alias("lead")), "token").select("lead", F.lit(-2).alias("band"), "rid")
-    members = pair_members(small_pairs(postings)).union(large).distinct()
+            lines, _, _ = _distinct(part)
+            if lines:
+                bands = signatures(*shingles(lines, SHINGLE))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(bands).view(np.int64)), pa.array(np.tile(_digest(lines), BANDS))], names=["token", "node"])
+
+    nodes = rows.mapInArrow(place, "node bigint, rid bigint, line int, n int").groupBy("node").agg(F.min(F.struct("rid", "line")).alias("place"), F.min("n").alias("n"))
+    nodes = stored(nodes, "lines")
+    # all lines of a bucket are likely to be alike: each bucket is a group around its least node, and the groups of a node are one
+    bucket = Window.partitionBy("token")
+    postings = rows.mapInArrow(sign, "token bigint, node bigint").withColumn("lead", F.min("node").over(bucket)).withColumn("last", F.max("node").over(bucket))
+    members = postings.where("lead < last").select("lead", F.lit(-2).alias("band"), F.col("node").alias("rid")).distinct()
     members = members.join(nodes.select(F.col("node").alias("rid"), "n"), "rid")
     wanted = blocked(stored(members, "members")).groupBy("rid").agg(F.collect_list("g").alias("groups"))
     wanted = wanted.join(nodes.select(F.col("node").alias("rid"), "place"), "rid")
@@ -106,8 +120,8 @@ def _kept_lines(rows: DataFrame, percent: int) -> DataFrame:
             for z, own in zip(batch.column("z"), batch.column("wanted"), strict=True):
                 lines = unpack(z.as_py()).decode().split("\n")
                 for w in own.as_py():
-                    tokens = np.unique(shingles([lines[w["line"]]], SHINGLE)[0]).tobytes()
-                    out += [(g["lead"], g["band"], g["low"], g["high"], g["block"], w["node"], tokens) for g in w["groups"]]
+                    line = lines[w["line"]].encode()  # shorter than its shingles
+                    out += [(g["lead"], g["band"], g["low"], g["high"], g["block"], w["node"], line) for g in w["groups"]]
                 if len(out) >= 1024:
                     yield member_batch(out)
                     out = []
@@ -115,7 +129,7 @@ def _kept_lines(rows: DataFrame, percent: int) -> DataFrame:
                 yield member_batch(out)
 
     gathered = packed(rows.select("rid", "text")).join(wanted, "rid").select("z", "wanted").mapInArrow(fetch, MEMBER)
-    roots = components(stored(meet(gathered, percent), "links"))
+    roots = components(stored(meet(gathered, percent, _line_sets), "links"))
     found = nodes.select("node", "place").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     kept = found.groupBy("root").agg(F.min("place").alias("place"))
     return kept.groupBy(F.col("place.rid").alias("rid")).agg(F.collect_list("place.line").alias("lines"))
