@@ -145,6 +145,18 @@ def test_recall_of_bands():
     assert 1 - (1 - 0.8**line_dedup.ROWS) ** line_dedup.BANDS > 0.999
 
 
+@pytest.mark.parametrize(("common", "own", "missed"), [(8, 1, 0.0006), (80, 10, 0.0006), (34, 3, 0.0002), (36, 2, 0.0001)])
+def test_measured_recall(common, own, missed):
+    """Of 40,000 pairs at similarity 0.8, 0.8, 0.85 and 0.9, signatures() separates no more than independent hashes would."""
+    pick, apart = np.random.default_rng(common), 0
+    for _ in range(8):
+        both = pick.integers(0, 1 << 64, (5000, common), dtype=np.uint64)
+        sides = [np.hstack([both, pick.integers(0, 1 << 64, (5000, own), dtype=np.uint64)]) for _ in range(2)]
+        bands = zip(*(line_dedup.signatures(x.ravel(), np.arange(5001) * x.shape[1]) for x in sides), strict=True)
+        apart += int((~np.any([a == b for a, b in bands], axis=0)).sum())
+    assert apart <= missed * 40000
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 105), (105, 101), (101, 100), (7, 7)]
     got = dict(components.components(spark.createDataFrame(chain, "a long, b long")).collect())

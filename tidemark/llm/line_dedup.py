@@ -43,14 +43,23 @@ def shingles(lines: list[str], k: int) -> tuple[np.ndarray, np.ndarray]:
     return mix((sums[end] - sums[at]) * powers(INVERSE, len(code) + 1)[at] + (end - at).astype(np.uint64)), first
 
 
+#: Of each hash of a signature: makes it a function of its own.
+_SALTS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
 def signatures(hashes: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
-    """A column of hashes for each band."""
-    out = []
+    """A column of hashes for each band. Multiples of one hash would not do: a shingle with a low one is the least under many of them."""
+    out, salted, spread = [], np.empty_like(hashes), np.empty_like(hashes)
     for band in range(BANDS):
         key = np.full(len(first) - 1, band + 1, np.uint64)
         for row in range(ROWS):
-            odd = np.uint64((0x9E3779B97F4A7C15 * (2 * (band * ROWS + row) + 1) | 1) & 0xFFFFFFFFFFFFFFFF)
-            key = mix(key ^ np.minimum.reduceat((hashes * odd) >> np.uint64(16), first[:-1]))
+            # mix() of the salted hash, but for the steps that a mixed hash and a minimum don't need; in place
+            np.bitwise_xor(hashes, _SALTS[band * ROWS + row], out=salted)
+            np.multiply(salted, np.uint64(0xD6E8FEB86659FD93), out=salted)
+            np.right_shift(salted, np.uint64(32), out=spread)
+            np.bitwise_xor(salted, spread, out=salted)
+            np.multiply(salted, np.uint64(0xD6E8FEB86659FD93), out=salted)
+            key = mix(key ^ np.minimum.reduceat(salted, first[:-1]))
         out.append(key)
     return out
 
