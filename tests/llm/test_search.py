@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from tidemark.llm import hamming_search
+from tidemark.llm import hamming_search, queries
 
 
 def brute(codes, queries, k):
@@ -38,6 +38,36 @@ def test_search(spark, n, bits, k, spread):
         assert got == brute(codes, range(0, n + 4, 5), k)
 
 
+@pytest.mark.parametrize("spread", [0.02, 1.0])
+def test_long_codes(spark, spread):
+    """Codes of several words, in clusters and without: exact over the codes, and nearer to the vectors' own neighbours than short ones."""
+    pick = np.random.default_rng(9)
+    vectors = pick.normal(size=(500, 64))
+    if spread < 1:
+        vectors = vectors[pick.integers(0, 25, 500)] + spread * pick.normal(size=(500, 64))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    codes = {r.id: int.from_bytes(r.code, "little") for r in hamming_search.encode(df, 256).collect()}
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    recall = {}
+    for bits in (32, 256):
+        got = {}
+        for r in hamming_search.search(df, df.where("vec_id % 20 = 0"), 10, bits).orderBy("vec_id", "rank").collect():
+            got.setdefault(r.vec_id, []).append((r.distance, r.neighbor_id))
+        true = {q: set(np.argsort(-(unit @ unit[q]), kind="stable")[1:11].tolist()) for q in got}
+        recall[bits] = np.mean([len(true[q] & {i for _, i in x}) / 10 for q, x in got.items()])
+    assert got == {q: sorted(((codes[q] ^ c).bit_count(), i) for i, c in codes.items() if i != q)[:10] for q in range(0, 500, 20)}
+    assert recall[256] > (1.5 if spread == 1 else 1.1) * recall[32]
+
+
+def test_production_codes(spark, monkeypatch, tmp_path):
+    """The query's codes have several times the bits of its vectors' 64 dimensions."""
+    seen = []
+    monkeypatch.setattr(hamming_search, "search", lambda *a, **b: seen.append(b["bits"]))
+    spark.createDataFrame([(1, [0.0])], "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    queries.op8_topk_hamming(spark, str(tmp_path))
+    assert seen[0] >= 128
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert hamming_search.search(df, df).count() == 0

@@ -45,7 +45,7 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_topk_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    return hamming_search.search(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=10, bits=32)
+    return hamming_search.search(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=10, bits=256)
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
