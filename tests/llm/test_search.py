@@ -68,6 +68,15 @@ def test_production_codes(spark, monkeypatch, tmp_path):
     assert seen[0] >= 128
 
 
+def test_a_longer_vector(spark):
+    """One malformed row leaves the others as they are."""
+    vectors = np.random.default_rng(2).normal(size=(30, 8)).tolist()
+    good = spark.createDataFrame(list(enumerate(vectors)), "vec_id long, embedding array<double>")
+    bad = spark.createDataFrame([*enumerate(vectors), (99, [1.0] * 9), (100, []), (101, [None] * 9), (102, [None] * 9)], good.schema)
+    assert sorted(hamming_search.encode(bad, 64).collect()) == sorted(hamming_search.encode(good, 64).collect())
+    assert hamming_search.encode(bad, 64).count() == 30
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert hamming_search.search(df, df).count() == 0

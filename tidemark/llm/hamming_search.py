@@ -12,7 +12,7 @@ Codes can have any number of bits; the order of neighbours is that of the vector
 more bits tell more.
 
 Ties go to the lesser id; a query is not its own neighbour, nor are rows of the same id. Defined results: null
-vectors, vectors with nulls or of another length than the table's longest, and null ids are neither found nor searched for; fewer than
+vectors, vectors with nulls or of another length than the commonest (of equally common ones the greatest), and null ids are neither found nor searched for; fewer than
 k others give fewer rows; repeated rows count once.
 """
 
@@ -48,8 +48,11 @@ def _words(column: pa.Array, bits: int) -> np.ndarray:
 def _encoded(vectors: DataFrame, bits: int, id_col: str, vector_col: str, seed: int, number: bool) -> DataFrame:
     """(id, code) of the rows that have both; code: a number or a binary value."""
     rows = vectors.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{vector_col}`").cast("array<double>").alias("v"))
-    size = rows.agg(F.max(F.size("v"))).first()[0] or 0
-    rows = rows.where(F.col("id").isNotNull() & (F.size("v") == size) & ~F.exists("v", lambda x: x.isNull() | F.isnan(x)))
+    rows = rows.where(F.col("id").isNotNull() & (F.size("v") > 0) & ~F.exists("v", lambda x: x.isNull() | F.isnan(x)))
+    # the commonest length, and of equally common ones the greatest
+    common = rows.groupBy(F.size("v").alias("size")).count().orderBy(F.desc("count"), F.desc("size")).first()
+    size = common["size"] if common else 0
+    rows = rows.where(F.size("v") == size)
     planes = np.random.default_rng(seed).normal(size=(max(size, 0), bits))
     kind = "bigint" if number else "binary"
 
