@@ -7,18 +7,25 @@ A null text is the empty text.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a worker looks at in one go; a longer text is a chunk of its own.
 CHUNK_BYTES = 2 << 20
 
-#: Odd multiplier of the 64-bit polynomial hashes, and its inverse modulo 2**64.
+#: Bytes of an Arrow batch on its way to a worker, so that memory doesn't depend on the length of texts.
+BATCH_BYTES = 4 << 20
+
+#: Odd multiplier of the 64-bit polynomial hashes, and its inverse modulo 2**64. Such hashes only group; what decides a
+#: result is compared itself or by the hashes below.
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 _POWERS: dict[int, np.ndarray] = {}
@@ -52,6 +59,7 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = C
 
 def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only (doc_id, text) of a table, under these names."""
+    bounded(df.sparkSession)
     return df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
 
@@ -65,6 +73,30 @@ def lowest(rows: DataFrame, total: int, max_rows: int, *keys: str) -> list:
     return rows.where(rank <= min((1 << 63) - 1, -(1 << 63) + int(share * (1 << 64)))).orderBy(rank, *keys).limit(max_rows).collect()
 
 
+def bounded(spark: SparkSession) -> SparkSession:
+    """The session, with Arrow batches bounded by bytes where it leaves them at Spark's default or above."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key).rstrip("bB")) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+    return spark
+
+
+def lean(run: Callable) -> Callable:
+    """run, for mapInArrow; at its end the worker gives memory that it no longer uses back to the system."""
+
+    @functools.wraps(run)
+    def outer(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+            if trim:
+                trim(0)
+
+    return outer
+
+
 def id_type(df: DataFrame) -> str:
     return df.schema["doc_id"].dataType.simpleString()
 
@@ -78,7 +110,7 @@ def per_text(df: DataFrame, fields: str, work: Callable[[pa.RecordBatch], list],
         for part in chunks(batches, limit=limit):
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), *work(part)], names=names)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)
 
 
 def powers(base: int, n: int) -> np.ndarray:
@@ -117,6 +149,57 @@ def span_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((sums[end] - sums[start]) * top[start] + (end - start).astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
 
 
+#: Bytes of a word that are hashed side by side with other words'; longer words one by one.
+_LONG = 256
+_MASK = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
+_STEP = np.uint64(0xA24BAED4963EE407)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte spans [start, end): blocks of eight bytes, each mixed into the hash by a non-linear step."""
+    length = ends - starts
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    wide = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    out = mix(length.astype(np.uint64) * _STEP ^ wide[starts] & _MASK[np.minimum(length, 8)])
+    done, active = 8, np.flatnonzero(length > 8)
+    while len(active) and done < _LONG:
+        left = length[active] - done
+        out[active] = mix(out[active] * _STEP ^ wide[starts[active] + done] & _MASK[np.minimum(left, 8)])
+        done += 8
+        active = active[left > 8]
+    if len(active):
+        raw = memoryview(data)
+        out[active] = np.fromiter((xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(starts[active].tolist(), ends[active].tolist(), strict=True)), np.uint64, len(active))
+    return out
+
+
+def gram_hashes(hashed: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the runs of n hashes, at each place where one begins: a non-linear step for each."""
+    size = max(len(hashed) - n + 1, 0)
+    out = mix(hashed[:size] + np.uint64(n))
+    for i in range(1, n):
+        out = mix(out * _STEP ^ hashed[i : i + size])
+    return out
+
+
+def distinct(values: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(values, edges): each stretch's distinct values, ascending, and where the stretches begin now."""
+    values = values.copy()
+    for a, b in zip(edges.tolist(), edges[1:].tolist(), strict=False):
+        values[a:b].sort()
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    new[edges[:-1][edges[:-1] < len(values)]] = True
+    return values[new], np.concatenate(([0], np.cumsum(new)))[edges]
+
+
+def span_digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """XXH3's 64-bit hashes of the byte spans [start, end)."""
+    raw = memoryview(np.ascontiguousarray(data))
+    return np.fromiter((xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)), np.uint64, len(starts))
+
+
 #: Lower case of A-Z on bytes; other bytes, UTF-8's among them, stay.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32

@@ -14,7 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._repeats import stored
+from ._arrow import lean
+from ._tables import stored
 
 #: Sets of a bucket that still becomes pairs; tokens of a block.
 SMALL, BLOCK = 8, 1 << 22
@@ -78,7 +79,8 @@ def _batched(rows, kinds: dict):
 
 
 def screen(gathered: DataFrame, percent: int) -> DataFrame:
-    """(rid, g) of the places at which a set may have a link, of rows with n and both orders' prefixes (first, second).
+    """(rid, g) of the places at which a set may have a link, of rows with n, both orders' prefixes (first, second; tokens that no other set has
+    may be left out), and the number of tokens after them (rest).
 
     Tokens before the last one of the prefix that ends earlier in the order can only meet in both prefixes. So a link needs as many
     common prefix tokens as the rest of the larger set can't make up for, under either order.
@@ -89,13 +91,13 @@ def screen(gathered: DataFrame, percent: int) -> DataFrame:
             column = batch.column(c)
             ends, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
             lists.append([np.sort(values[a:b].view(np.uint64)) for a, b in zip(ends, ends[1:], strict=False)])
-        return *(batch.column(c).to_pylist() for c in ("block", "rid", "n")), *lists
+        return *(batch.column(c).to_pylist() for c in ("block", "rid", "n", "rest")), *lists
 
     def run(batches):
         yield from _batched((_screened(held, key, percent) for key, held in _groups(batches, columns)), dict.fromkeys(PLACE, pa.int32()) | {"lead": pa.int64(), "block": pa.int32(), "rid": pa.int64()})
 
     parts = int(gathered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = gathered.repartition(parts, *PLACE).sortWithinPartitions(*PLACE, "rid").mapInArrow(run, "lead bigint, band int, low int, high int, block int, rid bigint")
+    rows = gathered.repartition(parts, *PLACE).sortWithinPartitions(*PLACE, "rid").mapInArrow(lean(run), "lead bigint, band int, low int, high int, block int, rid bigint")
     return rows.select("rid", F.struct(*PLACE, "block").alias("g"))
 
 
@@ -105,16 +107,16 @@ def _screened(held: list[tuple], key: tuple, percent: int) -> list[tuple]:
     probes = [i for i, x in enumerate(held) if inner or x[0] == key[2]]
     members = probes if inner else [i for i, x in enumerate(held) if x[0] == key[3]]
     size = np.array([x[2] for x in held])
-    rest = size - np.array([len(x[3]) for x in held])
+    rest = np.array([x[3] for x in held])
     alive = np.zeros(len(held), bool)
     # the second order is asked only for sets that the first one leaves
-    for p, common in zip(probes, overlaps([held[i][3] for i in members], [held[i][3] for i in probes]), strict=True):
+    for p, common in zip(probes, overlaps([held[i][4] for i in members], [held[i][4] for i in probes]), strict=True):
         need = -(-percent * (size[p] + size[members]) // (100 + percent)) - np.maximum(rest[p], rest[members])
         near = np.flatnonzero(common >= np.maximum(need, 1))
         for j in near:
             m = members[j]
             if m != p and not (alive[p] and alive[m]):
-                both = len(np.intersect1d(held[p][4], held[m][4], assume_unique=True))
+                both = len(np.intersect1d(held[p][5], held[m][5], assume_unique=True))
                 if both >= max(1, need[j]):
                     alive[[p, m]] = True
     return [(*key, held[i][0], held[i][1]) for i in np.flatnonzero(alive).tolist()]
@@ -134,7 +136,7 @@ def meet(gathered: DataFrame, percent: int, read=hashes) -> DataFrame:
         yield from _batched((_linked(held, key, percent) for key, held in _groups(batches, columns)), {"a": pa.int64(), "b": pa.int64()})
 
     parts = int(gathered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return gathered.repartition(parts, *PLACE).sortWithinPartitions(*PLACE, "rid").mapInArrow(run, "a bigint, b bigint")
+    return gathered.repartition(parts, *PLACE).sortWithinPartitions(*PLACE, "rid").mapInArrow(lean(run), "a bigint, b bigint")
 
 
 def overlaps(members: list[np.ndarray], probes: list[np.ndarray]):

@@ -4,58 +4,29 @@ A window is ``win`` consecutive symbols (bytes or words) of one text. The k-gram
 a window is its anchor; it depends on the window's content alone, so like windows have like
 anchors, and a text has about 2 / (win - k + 2) anchors per symbol. Neighbouring windows with the same
 anchor form a context. Only contexts whose anchor occurs more than once go on: copies of a
-context are folded into one, its text is fetched through the id, and contexts of an anchor meet in one
-task, whose suffix structure decides every window exactly.
+context (by the anchor's hash and a hash of the context's bytes) are folded into one, its text is fetched through the id, and
+contexts of an anchor meet in one task, whose suffix structure decides every window exactly.
 
 Ids must be unique for that; ``identified`` sees to it.
 """
 
 from __future__ import annotations
 
-import atexit
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._arrow import INVERSE, chunks, mix, powers, span_hashes
-from ._sketch import places, sketch
+from ._arrow import INVERSE, bounded, chunks, lean, mix, powers, prefix_sums
+from ._sketch import heavy, places
+from ._tables import stored
 
-#: An anchor with fewer contexts is never hot; a hot one is dealt to so many places.
-HOT_LEAST, SALTS = 1000, 256
+#: Places to which a hot anchor is dealt.
+SALTS = 256
 _SALT = np.uint64(0xC2B2AE3D27D4EB4F)
-_MADE: list[tuple[SparkSession, str]] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where the session names none."""
-    return spark.conf.get("spark.checkpoint.dir", None) or "/tmp/tidemark-checkpoints"
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows, written as a table in the shared folder and read again: lineage ends here. Removed at exit."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/tidemark-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    if not _MADE:
-        atexit.register(_remove)
-    _MADE.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def _remove() -> None:
-    for spark, path in _MADE:
-        try:
-            jvm = spark.sparkContext._jvm
-            place = jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
-        except Exception:  # noqa: BLE001  the session has ended; the folder is a temporary one
-            return
 
 
 def identified(docs: DataFrame, id_col: str, text_col: str, carry: bool = False) -> DataFrame:
@@ -63,6 +34,7 @@ def identified(docs: DataFrame, id_col: str, text_col: str, carry: bool = False)
 
     carry: with a struct ``row`` of all columns but the text.
     """
+    bounded(docs.sparkSession)
     rows = docs.select(
         F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"),
         *([F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != text_col)).alias("row")] if carry else []),
@@ -78,29 +50,34 @@ def packed(rows: DataFrame) -> DataFrame:
     schema = T.StructType([T.StructField(n, T.BinaryType() if n == "z" else f.dataType) for n, f in zip(names, rows.schema, strict=True)])
 
     def run(batches):
-        squeeze = zstandard.ZstdCompressor(level=3)
+        squeeze = zstandard.ZstdCompressor(level=1)
         for part in chunks(batches):
             z = pa.array([None if x is None else squeeze.compress(x) for x in part.column("text").cast(pa.binary()).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([z if n == "z" else part.column(n) for n in names], names=names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lean(run), schema)
 
 
 def unpack(z: bytes | None) -> bytes:
     return b"" if z is None else zstandard.decompress(z)
 
 
-def contexts(sums: np.ndarray, offsets: np.ndarray, k: int, win: int) -> tuple[np.ndarray, ...]:
-    """(key, digest, start, n): contexts of the texts, given prefix sums over their symbols.
+def byte_grams(data: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of the k bytes from each place on; they only choose anchors, so a polynomial does."""
+    sums = prefix_sums(data)
+    return mix((sums[k:] - sums[:-k]) * powers(INVERSE, len(sums))[: len(data) - k + 1]) if len(data) >= k else np.zeros(0, np.uint64)
+
+
+def contexts(gram: np.ndarray, offsets: np.ndarray, k: int, win: int) -> tuple[np.ndarray, ...]:
+    """(key, start, n): contexts of the texts, given the hashes of the k-grams from each symbol on.
 
     key is the anchor's hash, start the first window's first symbol, n the number of windows; a context spans
-    n + win - 1 symbols, and digest is their hash.
+    n + win - 1 symbols.
     """
-    n = len(sums) - 1
-    none = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    n = len(gram) + k - 1
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     if n < win:
         return none
-    gram = mix((sums[k:] - sums[:-k]) * powers(INVERSE, n + 1)[: n - k + 1])
     low = (gram >> np.uint64(32) << np.uint64(32)) | np.arange(n - k + 1, dtype=np.uint64)
     width, have = win - k + 1, 1
     while 2 * have <= width:  # least of the next 1, 2, 4 ... grams
@@ -120,16 +97,15 @@ def contexts(sums: np.ndarray, offsets: np.ndarray, k: int, win: int) -> tuple[n
     owner = (low[valid] & np.uint64(0xFFFFFFFF)).astype(np.int64)
     new = np.flatnonzero(np.concatenate(([True], (np.diff(owner) != 0) | (np.diff(valid) != 1))))
     start, count = valid[new], np.diff(np.append(new, len(valid)))
-    return gram[owner[new]], span_hashes(sums, start, start + count + win - 1), start, count
+    return gram[owner[new]], start, count
 
 
 def hot_anchors(rows: DataFrame, find, limit: int) -> np.ndarray:
-    """Which counters of a sketch belong to anchors that may hold a share of 1 / 4096 of all contexts or more.
+    """Which counters belong to anchors that may hold a share of 1 / 4096 of all contexts or more.
 
-    find gives the contexts of a chunk, as ``contexts`` does. There are at most a few thousand such anchors.
+    find gives the contexts of a chunk, as ``contexts`` does, first. There are at most a few thousand such anchors.
     """
-    counts = sketch(rows.select("text"), lambda part: find(part)[0], (_SALT,), limit)[0]
-    return counts >= max(HOT_LEAST, int(counts.sum(dtype=np.int64)) >> 12)
+    return heavy(rows.select("text"), lambda part: find(part)[0], _SALT, limit, 12)
 
 
 def salted(found: DataFrame) -> DataFrame:

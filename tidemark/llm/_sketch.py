@@ -1,4 +1,4 @@
-"""Counts of hashed items over a whole table, in a sketch of fixed size: it reaches the driver, and every task, whatever the input."""
+"""Which hashed items hold a large share of a whole table, by counters of a fixed number."""
 
 from __future__ import annotations
 
@@ -7,12 +7,13 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ._arrow import chunks, mix
+from ._arrow import chunks, lean, mix
+from ._tables import free, stored
 
-#: Counters of a row of the sketch, and the slices that it travels in.
-SIZE, SLICES = 1 << 20, 64
-_TOP = (1 << 31) - 1
+#: Counters, and the count below which no item is heavy.
+SIZE, LEAST = 1 << 20, 1000
 
 
 def places(hashed: np.ndarray, salt: np.uint64) -> np.ndarray:
@@ -20,28 +21,25 @@ def places(hashed: np.ndarray, salt: np.uint64) -> np.ndarray:
     return (mix(hashed ^ salt) >> np.uint64(44)).astype(np.int64)
 
 
-def sketch(rows: DataFrame, items: Callable[[pa.RecordBatch], np.ndarray], salts: tuple[np.uint64, ...], limit: int) -> np.ndarray:
-    """Counters (salts x SIZE) of the 64-bit hashes that items gives for chunks of a table with a text column."""
+def heavy(rows: DataFrame, items: Callable[[pa.RecordBatch], np.ndarray], salt: np.uint64, limit: int, shift: int) -> np.ndarray:
+    """Flags of the counters whose items are 1 / 2**shift of all or more; items gives the hashes of chunks of a table with a text column.
+
+    A task tells only those of its counters that hold half that share of what it has seen: few, and of an item with the full
+    share at least half of its count. So about half a share is enough to be flagged.
+    """
 
     def count(batches):
-        total = np.zeros((len(salts), SIZE), np.int64)
+        total = np.zeros(SIZE, np.int64)
         for part in chunks(batches, limit=limit):
-            hashed = items(part)
-            for i, salt in enumerate(salts):
-                total[i] += np.bincount(places(hashed, salt), minlength=SIZE)
-        pieces = np.minimum(total, _TOP).astype(np.int32).reshape(len(salts) * SLICES, -1)
-        full = np.flatnonzero(pieces.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array([pieces[i].tobytes() for i in full], pa.binary())], names=["slice", "counts"])
-
-    def add(batches):
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for i, raw in zip(batch.column("slice").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                total[i] = total.get(i, 0) + np.frombuffer(raw, np.int32).astype(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([np.minimum(x, _TOP).astype(np.int32).tobytes() for x in total.values()], pa.binary())], names=["slice", "counts"])
-
-    schema = "slice int, counts binary"
-    out = np.zeros((len(salts) * SLICES, SIZE // SLICES), np.int32)
-    for r in rows.mapInArrow(count, schema).repartition(SLICES, "slice").mapInArrow(add, schema).toLocalIterator():
-        out[r["slice"]] = np.frombuffer(r["counts"], np.int32)
-    return out.reshape(len(salts), SIZE)
+            total += np.bincount(places(items(part), salt), minlength=SIZE)
+        own = np.flatnonzero(total > int(total.sum()) >> (shift + 1))
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(own, -1).astype(np.int32)), pa.array(np.append(total[own], total.sum()))], names=["place", "n"])
+
+    found = stored(rows.mapInArrow(lean(count), "place int, n bigint").groupBy("place").agg(F.sum("n").alias("n")), "heavy")
+    total = found.where("place = -1").first()
+    out = np.zeros(SIZE, bool)
+    if total:
+        # of all counters no more than 2 ** (shift + 1) can hold so much
+        out[[r.place for r in found.where((F.col("place") >= 0) & (F.col("n") >= max(LEAST, total.n >> shift) // 2)).collect()]] = True
+    free(found)
+    return out

@@ -25,8 +25,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._arrow import chunks, flat, per_text, sha256, texts
-from ._repeats import stored
+from ._arrow import chunks, flat, lean, per_text, sha256, texts
+from ._tables import stored
 
 #: Words beside the table whose ids a worker remembers from one chunk to the next; bytes of the broadcast table; bytes of a chunk.
 REMEMBERED, TABLE_BYTES, CHUNK = 100_000, 48 << 20, 4 << 20
@@ -99,8 +99,8 @@ def word_table(rows: DataFrame, path: str, max_bytes: int = 0):
                 part = part.filter(pa.array([not _unsafe(w) for w in part.column("word").to_pylist()], pa.bool_()))
                 yield part.append_column("ids", pa.array(_ids(_model(path)[0], [" " + w for w in part.column("word").to_pylist()]), pa.binary()))
 
-    shared = rows.select("text").mapInArrow(split, "word string").groupBy("word").agg(F.count("*").alias("n")).where("n > 1")
-    encoded = stored(shared.mapInArrow(encode, "word string, n bigint, ids binary"), "words")
+    shared = rows.select("text").mapInArrow(lean(split), "word string").groupBy("word").agg(F.count("*").alias("n")).where("n > 1")
+    encoded = stored(shared.mapInArrow(lean(encode), "word string, n bigint, ids binary"), "words")
     # by powers of two of the number of chunks, the commonest words that fit
     level = F.floor(F.log2("n")).cast("int")
     sizes = encoded.groupBy(level.alias("level")).agg(F.sum(F.octet_length("word") + F.octet_length("ids") + 8).alias("bytes")).orderBy(F.col("level").desc()).collect()
@@ -213,7 +213,7 @@ def decode(encoded: DataFrame, model_path: str, id_col: str = "doc_id", ids_col:
             offsets = np.concatenate(([0], np.cumsum(pc.list_value_length(column).to_numpy(zero_copy_only=False))))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([x.decode() for x in decode_chunk(model_path, ids, offsets)], pa.string())], names=["doc_id", "text"])
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text string")
+    return rows.mapInArrow(lean(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text string")
 
 
 def digest(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._repeats import stored
+from ._tables import stored
 
 
 def _least(edges: DataFrame) -> DataFrame:
@@ -26,7 +26,7 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = _least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         own = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(own, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").union(own.select("u", "m")).distinct()
-        edges = stored(small.toDF("u", "v"), "links")
+        edges = stored(small.toDF("u", "v"), "links", after=(edges,))
         # changed? the links' number and the sum of their hashes tell
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:

@@ -26,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._arrow import flat
-from ._repeats import stored
+from ._arrow import bounded, flat, lean
+from ._tables import stored
 
 #: Bits that name a bucket of a segment's values, and codes of a bucket's chunk.
 BUCKET_BITS, CHUNK = 8, 1 << 16
@@ -47,6 +47,7 @@ def _words(column: pa.Array, bits: int) -> np.ndarray:
 
 def _encoded(vectors: DataFrame, bits: int, id_col: str, vector_col: str, seed: int, number: bool) -> DataFrame:
     """(id, code) of the rows that have both; code: a number or a binary value."""
+    bounded(vectors.sparkSession)
     rows = vectors.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{vector_col}`").cast("array<double>").alias("v"))
     rows = rows.where(F.col("id").isNotNull() & (F.size("v") > 0) & ~F.exists("v", lambda x: x.isNull() | F.isnan(x)))
     # the commonest length, and of equally common ones the greatest
@@ -64,7 +65,7 @@ def _encoded(vectors: DataFrame, bits: int, id_col: str, vector_col: str, seed:
             words = code.view("<u8")
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(words[:, 0].view(np.int64)) if number else _binary(words)], names=["id", "code"])
 
-    return rows.mapInArrow(run, f"id bigint, code {kind}").distinct() if size > 0 else rows.select("id", F.lit(None).cast(kind).alias("code")).limit(0)
+    return rows.mapInArrow(lean(run), f"id bigint, code {kind}").distinct() if size > 0 else rows.select("id", F.lit(None).cast(kind).alias("code")).limit(0)
 
 
 def encode(vectors: DataFrame, bits: int = 32, id_col: str = "vec_id", vector_col: str = "embedding", seed: int = 17) -> DataFrame:
@@ -213,7 +214,7 @@ def _entries(index: DataFrame, segments: list[tuple[int, int]], bits: int) -> Da
                 columns = [pa.array(np.full(len(batch), i, np.int32)), pa.array((_segment(words, cut) >> _low(cut)).astype(np.int32)), *(batch.column(c) for c in ("code", "least", "count"))]
                 yield pa.RecordBatch.from_arrays(columns, names=["segment", "bucket", "code", "least", "count"])
 
-    return index.select("code", "least", "count").mapInArrow(run, "segment int, bucket int, code binary, least bigint, count int")
+    return index.select("code", "least", "count").mapInArrow(lean(run), "segment int, bucket int, code binary, least bigint, count int")
 
 
 def _probes(state: DataFrame, segments: list[tuple[int, int]], bits: int, radius: int) -> DataFrame:
@@ -229,7 +230,7 @@ def _probes(state: DataFrame, segments: list[tuple[int, int]], bits: int, radius
                     columns = [pa.array(np.full(len(batch), i, np.int32)), pa.array((own ^ flip).astype(np.int32)), batch.column("query"), batch.column("bound").cast(pa.int64())]
                     yield pa.RecordBatch.from_arrays(columns, names=["segment", "bucket", "code", "least"])
 
-    return state.select("query", "bound").mapInArrow(run, "segment int, bucket int, code binary, least bigint")
+    return state.select("query", "bound").mapInArrow(lean(run), "segment int, bucket int, code binary, least bigint")
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 10, bits: int = 32, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -247,7 +248,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, bits: int = 32,
 
     def met(placed, probes, radius):
         both = placed.unionByName(probes.select(*PLACE, F.lit(1).alias("kind"), "code", "least", F.lit(0).alias("count")))
-        return both.repartition(parts, *PLACE).sortWithinPartitions(*PLACE, "kind").mapInArrow(_meeting(segments, bits, k, radius), _FOUND)
+        return both.repartition(parts, *PLACE).sortWithinPartitions(*PLACE, "kind").mapInArrow(lean(_meeting(segments, bits, k, radius)), _FOUND)
 
     def top(found, name):
         ranked = found.distinct().withColumn("place", F.row_number().over(Window.partitionBy("query").orderBy("distance", "least"))).where(F.col("place") <= k + 1)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._arrow import lowest, mix, per_text, texts
+from ._arrow import bounded, chunks, lean, lowest, mix, per_text, texts
 
 #: N-gram sizes and the number of hashed features.
 SIZES, FEATURES = (1, 2, 3), 1 << 17
@@ -164,13 +164,11 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
 
 def keep(docs: DataFrame, model: Model | None, min_score: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents, all columns as they are, whose language is known with at least min_score."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = bounded(docs.sparkSession).sparkContext.broadcast(model)
 
     def run(batches):
-        from ._arrow import chunks
-
         for part in chunks(batches, text_col, 1 << 18):
             names, score = shared.value.predict(part.column(text_col).to_pylist()) if shared.value else (["und"] * len(part), np.zeros(len(part)))
             yield part.filter(pa.array(np.array([x != "und" for x in names], bool) & (score >= min_score)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
