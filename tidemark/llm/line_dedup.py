@@ -20,9 +20,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._arrow import INVERSE, chunks, mix, powers, prefix_sums, sha256
+from ._arrow import INVERSE, chunks, distinct, lean, mix, powers, prefix_sums, sha256
 from ._groups import MEMBER, blocked, meet, member_batch
-from ._repeats import identified, packed, stored, unpack
+from ._repeats import identified, packed, unpack
+from ._tables import stored
 from .components import components
 
 #: Characters of a shingle; bands, and hashes of a band.
@@ -43,27 +44,68 @@ def shingles(lines: list[str], k: int) -> tuple[np.ndarray, np.ndarray]:
     return mix((sums[end] - sums[at]) * powers(INVERSE, len(code) + 1)[at] + (end - at).astype(np.uint64)), first
 
 
-#: Of each hash of a signature: makes it a function of its own.
+#: Of each hash of a signature: a number set against a shingle's hash and an odd one that it is multiplied by.
 _SALTS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_FACTORS = (_SALTS >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+_OFFSETS = _SALTS.astype(np.uint32)
+#: Shingles that the functions go over at once: they stay in the processor's cache.
+_TILE = 1 << 15
 
 
-def signatures(hashes: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
-    """A column of hashes for each band. Multiples of one hash would not do: a shingle with a low one is the least under many of them."""
-    out, salted, spread = [], np.empty_like(hashes), np.empty_like(hashes)
+def _short_shingles(lines: list[str], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """As shingles(), in 32 bits: enough to choose candidates, which are verified."""
+    code = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), "<u4")
+    size = np.fromiter(map(len, lines), np.int64, len(lines))
+    ends = np.cumsum(size)
+    hashed = np.zeros(len(code), np.uint32)
+    gram = code[: max(len(code) - k + 1, 0)].copy()
+    for i in range(1, k):
+        gram *= np.uint32(0x01000193)
+        gram += code[i : i + len(gram)]
+    for shift, factor in ((16, 0x7FEB352D), (15, 0x846CA68B)):
+        gram ^= gram >> np.uint32(shift)
+        gram *= np.uint32(factor)
+    hashed[: len(gram)] = gram ^ (gram >> np.uint32(16))
+    # the last k - 1 characters of a line begin no shingle
+    edge = np.zeros(len(code) + 1, np.int8)
+    edge[ends - np.minimum(size, k - 1)] += 1
+    edge[ends] -= 1
+    begins = np.cumsum(edge[:-1], dtype=np.int8) == 0
+    tiny = np.flatnonzero(size < k)
+    begins[ends[tiny] - size[tiny]] = True
+    hashed[ends[tiny] - size[tiny]] = [xxhash.xxh32_intdigest(lines[i].encode("utf-8", "surrogatepass")) for i in tiny]
+    return hashed[begins], np.concatenate(([0], np.cumsum(np.maximum(size - k + 1, 1))))
+
+
+def _bands(hashes: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """A column of hashes for each band, of 32-bit shingle hashes. Each function has an offset and a factor of its own: multiples
+    of one hash would not do, as a shingle with a low one is the least under many of them."""
+    n = len(first) - 1
+    least = np.empty((BANDS * ROWS, n), np.uint32)
+    i = 0
+    while i < n:
+        j = max(i + 1, int(np.searchsorted(first, first[i] + _TILE, side="right")) - 1)
+        own, at = hashes[first[i] : first[j]], first[i:j] - first[i]
+        salted = np.empty_like(own)
+        for k in range(BANDS * ROWS):
+            np.bitwise_xor(own, _OFFSETS[k], out=salted)
+            np.multiply(salted, _FACTORS[k], out=salted)
+            least[k, i:j] = np.minimum.reduceat(salted, at)
+        i = j
+    out = []
     for band in range(BANDS):
-        key = np.full(len(first) - 1, band + 1, np.uint64)
+        key = np.full(n, band + 1, np.uint64)
         for row in range(ROWS):
-            # mix() of the salted hash, but for the steps that a mixed hash and a minimum don't need; in place
-            np.bitwise_xor(hashes, _SALTS[band * ROWS + row], out=salted)
-            np.multiply(salted, np.uint64(0xD6E8FEB86659FD93), out=salted)
-            np.right_shift(salted, np.uint64(32), out=spread)
-            np.bitwise_xor(salted, spread, out=salted)
-            np.multiply(salted, np.uint64(0xD6E8FEB86659FD93), out=salted)
-            key = mix(key ^ np.minimum.reduceat(salted, first[:-1]))
+            key = mix(key ^ least[band * ROWS + row])
         out.append(key)
     return out
 
 
+def signatures(hashes: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """A column of hashes for each band, of lines whose 64-bit shingle hashes begin at first."""
+    return _bands((hashes >> np.uint64(32)).astype(np.uint32), first)
+
+
 def _digest(lines: list[str]) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(x.encode("utf-8", "surrogatepass")) for x in lines), np.uint64, len(lines)).view(np.int64)
 
@@ -85,13 +127,7 @@ def _distinct(part: pa.RecordBatch) -> tuple[list[str], np.ndarray, np.ndarray]:
 
 def _line_sets(lines: list[bytes]) -> list[np.ndarray]:
     """Each line's distinct shingles, ascending; all lines of a batch in one go."""
-    hashed, first = shingles([x.decode() for x in lines], SHINGLE)
-    owner = np.repeat(np.arange(len(lines)), np.diff(first))
-    order = np.lexsort((hashed, owner))
-    hashed, owner = hashed[order], owner[order]
-    new = np.concatenate(([True], (hashed[1:] != hashed[:-1]) | (owner[1:] != owner[:-1]))) if len(hashed) else np.zeros(0, bool)
-    edges = np.searchsorted(owner[new], np.arange(len(lines) + 1))
-    hashed = hashed[new]
+    hashed, edges = distinct(*shingles([x.decode() for x in lines], SHINGLE))
     return [hashed[a:b].copy() for a, b in zip(edges, edges[1:], strict=False)]
 
 
@@ -99,28 +135,24 @@ def _kept_lines(rows: DataFrame, percent: int) -> DataFrame:
     """(rid, lines): the line numbers that stay, of texts with lines that aren't blank."""
     rows = rows.select("rid", "text")
 
-    def place(batches):
-        for part in chunks(batches, limit=1 << 19):
-            lines, rid, number = _distinct(part)
-            yield pa.RecordBatch.from_arrays([pa.array(_digest(lines)), pa.array(rid), pa.array(number.astype(np.int32)), pa.array(np.fromiter(map(len, lines), np.int32, len(lines)))], names=["node", "rid", "line", "n"])
-
     def sign(batches):
         for part in chunks(batches, limit=1 << 19):
-            lines, _, _ = _distinct(part)
+            lines, rid, number = _distinct(part)
             if lines:
-                bands = signatures(*shingles(lines, SHINGLE))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(bands).view(np.int64)), pa.array(np.tile(_digest(lines), BANDS))], names=["token", "node"])
+                bands = np.stack(_bands(*_short_shingles(lines, SHINGLE)), axis=1)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, BANDS, dtype=np.int32)), pa.array(bands.ravel().view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array(_digest(lines)), pa.array(rid), pa.array(number.astype(np.int32)), pa.array(np.fromiter(map(len, lines), np.int32, len(lines))), lists], names=["node", "rid", "line", "n", "bands"])
 
-    nodes = rows.mapInArrow(place, "node bigint, rid bigint, line int, n int").groupBy("node").agg(F.min(F.struct("rid", "line")).alias("place"), F.min("n").alias("n"))
-    nodes = stored(nodes, "lines")
+    signed = stored(rows.mapInArrow(lean(sign), "node bigint, rid bigint, line int, n int, bands array<bigint>"), "signed")
+    # chunks fold lines, so no text has a node twice
+    nodes = stored(signed.groupBy("node").agg(F.min("rid").alias("rid"), F.min_by("line", "rid").alias("line"), F.min("n").alias("n")), "lines")
     # all lines of a bucket are likely to be alike: each bucket is a group around its least node, and the groups of a node are one
     bucket = Window.partitionBy("token")
-    postings = rows.mapInArrow(sign, "token bigint, node bigint").withColumn("lead", F.min("node").over(bucket)).withColumn("last", F.max("node").over(bucket))
+    postings = signed.select(F.explode("bands").alias("token"), "node").withColumn("lead", F.min("node").over(bucket)).withColumn("last", F.max("node").over(bucket))
     members = postings.where("lead < last").select("lead", F.lit(-2).alias("band"), F.col("node").alias("rid")).distinct()
-    members = members.join(nodes.select(F.col("node").alias("rid"), "n"), "rid")
-    wanted = blocked(stored(members, "members")).groupBy("rid").agg(F.collect_list("g").alias("groups"))
-    wanted = wanted.join(nodes.select(F.col("node").alias("rid"), "place"), "rid")
-    wanted = wanted.select(F.col("rid").alias("node"), F.col("place.line").alias("line"), "groups", F.col("place.rid").alias("rid"))
+    members = stored(members.join(nodes.select(F.col("node").alias("rid"), "n"), "rid"), "members", after=(signed,))
+    wanted = blocked(members).groupBy("rid").agg(F.collect_list("g").alias("groups")).withColumnRenamed("rid", "node")
+    wanted = wanted.join(nodes.select("node", "rid", "line"), "node")
     wanted = wanted.groupBy("rid").agg(F.collect_list(F.struct("node", "line", "groups")).alias("wanted"))
 
     def fetch(batches):
@@ -137,11 +169,12 @@ def _kept_lines(rows: DataFrame, percent: int) -> DataFrame:
             if out:
                 yield member_batch(out)
 
-    gathered = packed(rows.select("rid", "text")).join(wanted, "rid").select("z", "wanted").mapInArrow(fetch, MEMBER)
-    roots = components(stored(meet(gathered, percent, _line_sets), "links"))
-    found = nodes.select("node", "place").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    kept = found.groupBy("root").agg(F.min("place").alias("place"))
-    return kept.groupBy(F.col("place.rid").alias("rid")).agg(F.collect_list("place.line").alias("lines"))
+    gathered = packed(rows.select("rid", "text")).join(wanted, "rid").select("z", "wanted").mapInArrow(lean(fetch), MEMBER)
+    roots = components(stored(meet(gathered, percent, _line_sets), "links", after=(members,)))
+    # of linked lines all but the first place of each component go
+    linked = nodes.join(roots, "node").select("node", "root", F.struct("rid", "line").alias("place"))
+    gone = linked.join(linked.groupBy("root").agg(F.min("place").alias("first")), "root").where("place != first").select("node")
+    return nodes.join(gone, "node", "left_anti").groupBy("rid").agg(F.collect_list("line").alias("lines"))
 
 
 def _remaining(raw: str, kept) -> tuple[str, int, int]:
@@ -166,7 +199,7 @@ def dedup(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col:
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *columns], names=["doc_id", "n_lines", "n_removed", "kept_sha256", "kept"])
 
     joined = packed(rows).join(_kept_lines(rows, percent), "rid", "left").select("doc_id", "z", "lines")
-    return joined.mapInArrow(finish, "doc_id bigint, n_lines bigint, n_removed bigint, kept_sha256 string, kept string")
+    return joined.mapInArrow(lean(finish), "doc_id bigint, n_lines bigint, n_removed bigint, kept_sha256 string, kept string")
 
 
 def clean(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -186,5 +219,5 @@ def clean(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col:
                     keep.append(not full or gone < full)
                 yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(values, pa.string())], names=["row", "kept"]).filter(pa.array(keep, pa.bool_()))
 
-    out = joined.mapInArrow(finish, schema)
+    out = joined.mapInArrow(lean(finish), schema)
     return out.select(*(F.col("kept").cast(docs.schema[c].dataType).alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns))
