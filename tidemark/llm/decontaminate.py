@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._arrow import ALNUM, LOWER, covered, flat, prefix_sums, runs, sha256, span_hashes, texts, words
+from ._arrow import ALNUM, LOWER, bounded, chunks, covered, flat, gram_hashes, lean, runs, sha256, texts, word_hashes, words
 
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -49,15 +49,12 @@ _LOWERED = {c: c + 32 for c in range(65, 91)}
 
 def hash_word(word: bytes) -> int:
     data = np.frombuffer(word, np.uint8)
-    return int(span_hashes(prefix_sums(data), np.array([0]), np.array([len(data)]))[0])
+    return int(word_hashes(data, np.array([0]), np.array([len(data)]))[0])
 
 
-def window_hashes(word_hashes: np.ndarray, size: int, step: int = 1) -> np.ndarray:
+def window_hashes(hashed: np.ndarray, size: int, step: int = 1) -> np.ndarray:
     """Hashes of the windows of so many words that start at 0, step, 2 * step ..."""
-    if len(word_hashes) < size:
-        return np.zeros(0, np.uint64)
-    starts = np.arange(0, len(word_hashes) - size + 1, step)
-    return span_hashes(prefix_sums(word_hashes), starts, starts + size)
+    return gram_hashes(hashed, size)[::step]
 
 
 def find(part: pa.RecordBatch, table: Windows):
@@ -68,7 +65,7 @@ def find(part: pa.RecordBatch, table: Windows):
     hits = np.zeros(len(starts), bool)
     items: list[set] = [set() for _ in range(len(offsets) - 1)]
     if len(starts):
-        hashed = span_hashes(prefix_sums(data), starts, ends)
+        hashed = word_hashes(data, starts, ends)
         raw = data.tobytes()
         for size, (known, grams) in table.by_size.items():
             found = window_hashes(hashed, size)
@@ -128,24 +125,21 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = 10, max_windows: int =
     names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans"]
 
     def run(batches):
-        from ._arrow import chunks
-
         for part in chunks(batches):
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), *work(part)], names=names)
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {schema}")
+    return rows.mapInArrow(lean(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {schema}")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, n: int = 10, max_share: float = 0.5, max_windows: int = 1 << 20, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The documents without the hit spans; those of which over max_share of the words are hit, go. All columns stay as they are but the text."""
     tables = _tables(benchmark, n, max_windows, item_col, item_text_col)
+    bounded(docs.sparkSession)
     schema, names = docs.schema, docs.columns
     if len(set(names)) != len(names):
         raise ValueError("column names must differ")
 
     def run(batches):
-        from ._arrow import chunks
-
         for part in chunks(batches, text_col):
             texts_only = pa.RecordBatch.from_arrays([part.column(text_col)], names=["text"])
             hits = None
@@ -164,7 +158,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, n: int = 10, max_share: float =
             out = part.set_column(at, part.schema.field(at), pa.array(column, part.schema.field(at).type))
             yield out.filter(pa.array(keep))
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def _byte_spans(hits, starts, ends, first, offsets, i):

@@ -18,8 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._arrow import BASE, chunks, covered, flat, mix, powers, prefix_sums, runs, sha256
-from ._repeats import contexts, hot_anchors, identified, keyed_groups, packed, rows_of, salted, stored, unpack
+from ._arrow import chunks, covered, flat, lean, runs, sha256, span_digests
+from ._repeats import byte_grams, contexts, hot_anchors, identified, keyed_groups, packed, rows_of, salted, unpack
+from ._tables import stored
 
 #: Bytes of the anchoring grams, and of a shard; an anchor's contexts stay in one shard.
 GRAM, SHARD = 50, 2 << 20
@@ -139,13 +140,17 @@ def _sorted(text: np.ndarray, letters: int) -> np.ndarray:
         is_lms = np.zeros(n, bool)
         is_lms[inner] = True
         ranked = ranked[is_lms[ranked]]
-        # names: substrings from one LMS suffix to the next, by hash and length
-        sums = prefix_sums(text.astype(np.uint64) + np.uint64(1))
+        # names: substrings from one LMS suffix to the next, each compared with the one before it in order
         length = np.zeros(n, np.int64)
         length[inner] = np.diff(lms) + 1
-        value = np.zeros(n, np.uint64)
-        value[inner] = mix((sums[np.minimum(inner + length[inner], n)] - sums[inner]) * powers(pow(BASE, -1, 1 << 64), n)[inner])
-        new = np.concatenate(([True], (value[ranked[1:]] != value[ranked[:-1]]) | (length[ranked[1:]] != length[ranked[:-1]])))
+        size = length[ranked]
+        new = np.ones(len(ranked), bool)
+        like = np.flatnonzero(size[1:] == size[:-1]) + 1
+        if len(like):
+            first_of = np.cumsum(size[like]) - size[like]
+            at = np.arange(first_of[-1] + size[like[-1]]) - np.repeat(first_of, size[like])
+            same = text[np.repeat(ranked[like], size[like]) + at] == text[np.repeat(ranked[like - 1], size[like]) + at]
+            new[like] = ~np.logical_and.reduceat(same, first_of)
         name = np.cumsum(new)
         if name[-1] < len(inner):
             names = np.zeros(n, np.int32)
@@ -224,16 +229,16 @@ def dedup(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col:
 
     def anchored(part):
         data, offsets = flat(part.column("text"))
-        return *contexts(prefix_sums(data), offsets, gram, length), offsets
+        return *contexts(byte_grams(data, gram), offsets, gram, length), data, offsets
 
     hot = spark.sparkContext.broadcast(hot_anchors(rows, anchored, 1 << 19))
 
     def find(batches):
         for part in chunks(batches, limit=1 << 19):
-            *found, offsets = anchored(part)
-            yield rows_of(part, tuple(found), offsets, hot.value).drop_columns(["doc_id"])
+            key, start, n, data, offsets = anchored(part)
+            yield rows_of(part, (key, span_digests(data, start, start + n + length - 1), start, n), offsets, hot.value).drop_columns(["doc_id"])
 
-    found = salted(rows.mapInArrow(find, "key bigint, digest bigint, rid bigint, start int, n int, hot boolean"))
+    found = salted(rows.mapInArrow(lean(find), "key bigint, digest bigint, rid bigint, start int, n int, hot boolean"))
     by_key, by_context = Window.partitionBy("key", "salt"), Window.partitionBy("key", "salt", "digest").orderBy("rid", "start")
     # repeated anchors only; the first place of each context stands for its copies
     repeated = found.withColumn("place", F.row_number().over(by_context)).withColumn("m", F.count("*").over(by_key)).where("hot or m > 1").drop("m", "salt", "hot")
@@ -254,7 +259,7 @@ def dedup(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col:
             if out:
                 yield _batch(out)
 
-    pieces = compressed.join(wanted, "rid").select("z", "wanted").mapInArrow(cut, "key bigint, digest bigint, n int, weight int, text binary")
+    pieces = compressed.join(wanted, "rid").select("z", "wanted").mapInArrow(lean(cut), "key bigint, digest bigint, n int, weight int, text binary")
 
     def shard(batches):
         for group in keyed_groups(batches, SHARD):
@@ -272,7 +277,7 @@ def dedup(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col:
             )
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    hits = pieces.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(shard, "key bigint, digest bigint, a int, b int")
+    hits = pieces.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(lean(shard), "key bigint, digest bigint, a int, b int")
     places = repeated.join(hits, ["key", "digest"]).select("rid", (F.col("start") + F.col("a")).alias("a"), (F.col("start") + F.col("b") + (length - 1)).alias("b"))
     spans = places.groupBy("rid").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
     fields = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary, spans array<struct<start:bigint,stop:bigint>>"
@@ -294,7 +299,7 @@ def dedup(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col:
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array([x[i] for x in out], kind) for i, kind in enumerate(kinds))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans"])
 
-    return compressed.join(spans, "rid", "left").select("doc_id", "z", "spans").mapInArrow(finish, fields)
+    return compressed.join(spans, "rid", "left").select("doc_id", "z", "spans").mapInArrow(lean(finish), fields)
 
 
 def _batch(out: list[tuple]) -> pa.RecordBatch:

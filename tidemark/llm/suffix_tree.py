@@ -19,8 +19,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._arrow import NOT_SPACE, chunks, covered, flat, prefix_sums, runs, sha256, span_hashes, words
-from ._repeats import CONTEXT, contexts, hot_anchors, identified, keyed_groups, packed, rows_of, salted, stored, unpack
+from ._arrow import NOT_SPACE, chunks, covered, flat, gram_hashes, lean, runs, sha256, span_digests, word_hashes, words
+from ._repeats import CONTEXT, contexts, hot_anchors, identified, keyed_groups, packed, rows_of, salted, unpack
+from ._tables import stored
 
 #: Words of the anchoring grams; bytes of contexts that a task holds; suffixes of a group.
 GRAM, SHARD, GROUP = 5, 2 << 20, 1 << 17
@@ -98,17 +99,18 @@ def dedup(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: s
     def anchored(part):
         data, offsets = flat(part.column("text"))
         starts, ends, first = words(data, offsets, NOT_SPACE)
-        hashed = span_hashes(prefix_sums(data), starts, ends) if len(starts) else np.zeros(0, np.uint64)
-        return *contexts(prefix_sums(hashed), first, gram, window), first
+        grams = gram_hashes(word_hashes(data, starts, ends), gram)
+        return *contexts(grams, first, gram, window), data, starts, ends, first
 
     hot = spark.sparkContext.broadcast(hot_anchors(rows, anchored, 1 << 20))
 
     def find(batches):
         for part in chunks(batches, limit=1 << 20):
-            *found, first = anchored(part)
-            yield rows_of(part, tuple(found), first, hot.value)
+            key, start, n, data, starts, ends, first = anchored(part)
+            digest = span_digests(data, starts[start], ends[start + n + window - 2])
+            yield rows_of(part, (key, digest, start, n), first, hot.value)
 
-    found = salted(rows.mapInArrow(find, CONTEXT).withColumn("doc_id", F.coalesce("doc_id", F.lit(LAST))))
+    found = salted(rows.mapInArrow(lean(find), CONTEXT).withColumn("doc_id", F.coalesce("doc_id", F.lit(LAST))))
     by_key, by_context = Window.partitionBy("key", "salt"), Window.partitionBy("key", "salt", "digest").orderBy("doc_id", "rid", "start")
     repeated = found.withColumn("place", F.row_number().over(by_context)).withColumn("low", F.min("doc_id").over(by_key)).withColumn("high", F.max("doc_id").over(by_key))
     repeated = stored(repeated.where("hot or low < high").drop("low", "high", "salt", "hot"), "contexts")
@@ -132,7 +134,7 @@ def dedup(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: s
             if out:
                 yield _batch(out)
 
-    pieces = compressed.join(wanted, "rid").select("z", "wanted").mapInArrow(cut, "key bigint, digest bigint, n int, least bigint, text binary")
+    pieces = compressed.join(wanted, "rid").select("z", "wanted").mapInArrow(lean(cut), "key bigint, digest bigint, n int, least bigint, text binary")
 
     def subtrees(batches):
         for group in keyed_groups(batches, SHARD):
@@ -155,7 +157,7 @@ def dedup(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: s
             )
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    hits = pieces.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(subtrees, "key bigint, digest bigint, a int, b int, least bigint")
+    hits = pieces.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(lean(subtrees), "key bigint, digest bigint, a int, b int, least bigint")
     places = repeated.join(hits, ["key", "digest"]).where("least < doc_id").select("rid", (F.col("start") + F.col("a")).alias("a"), (F.col("start") + F.col("b") + (window - 1)).alias("b"))
     spans = places.groupBy("rid").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
 
@@ -177,7 +179,7 @@ def dedup(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: s
                 kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *(pa.array([x[i] for x in out], kind) for i, kind in enumerate(kinds))], names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept"])
 
-    return compressed.join(spans, "rid", "left").select("doc_id", "z", "spans").mapInArrow(finish, "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept string")
+    return compressed.join(spans, "rid", "left").select("doc_id", "z", "spans").mapInArrow(lean(finish), "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept string")
 
 
 def _batch(out: list[tuple]) -> pa.RecordBatch:
