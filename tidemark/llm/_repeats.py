@@ -24,8 +24,8 @@ from ._arrow import INVERSE, bounded, chunks, lean, mix, powers, prefix_sums
 from ._sketch import heavy, places
 from ._tables import stored
 
-#: Places to which a hot anchor is dealt.
-SALTS = 256
+#: An anchor with fewer contexts is never hot; a hot one is dealt to so many places.
+HOT_LEAST, SALTS = 1000, 256
 _SALT = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -105,7 +105,7 @@ def hot_anchors(rows: DataFrame, find, limit: int) -> np.ndarray:
 
     find gives the contexts of a chunk, as ``contexts`` does, first. There are at most a few thousand such anchors.
     """
-    return heavy(rows.select("text"), lambda part: find(part)[0], _SALT, limit, 12)
+    return heavy(rows.select("text"), lambda part: find(part)[0], _SALT, limit, 12, HOT_LEAST)
 
 
 def salted(found: DataFrame) -> DataFrame:
