@@ -122,11 +122,7 @@ def _screened(held: list[tuple], key: tuple, percent: int) -> list[tuple]:
     return [(*key, held[i][0], held[i][1]) for i in np.flatnonzero(alive).tolist()]
 
 
-def hashes(raw: list[bytes]) -> list[np.ndarray]:
-    return [np.frombuffer(x, np.uint64) for x in raw]
-
-
-def meet(gathered: DataFrame, percent: int, read=hashes) -> DataFrame:
+def meet(gathered: DataFrame, percent: int, read) -> DataFrame:
     """(a, b): links of MEMBER rows whose sets share percent of their union or more; read makes sets of what ``tokens`` holds."""
 
     def columns(batch):

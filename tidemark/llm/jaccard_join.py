@@ -133,7 +133,9 @@ def _prefixes(heads: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     # no token that is counted holds more than a bounded share of all, so each one's sets meet in one task
     told = heads.select(F.explode("tokens").alias("token"), "d1").repartition("token").distinct()
     repeated = told.withColumn("m", F.count("*").over(Window.partitionBy("token"))).where("m > 1")
-    lists = repeated.groupBy("d1").agg(F.collect_list(F.struct(F.col("m").cast("int").alias("m"), "token")).alias("found"))
+    # a number for both: the token's upper 56 bits, and its count by eighths of powers of two
+    level = F.least(F.floor(F.log2("m") * 8), F.lit(255)).cast("bigint")
+    lists = repeated.select("d1", F.col("token").bitwiseAND(F.lit(-256)).bitwiseOR(level).alias("token")).groupBy("d1").agg(F.collect_list("token").alias("found"))
 
     def run(batches):
         for batch in batches:
@@ -141,12 +143,12 @@ def _prefixes(heads: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
             found = batch.column("found")
             own = pc.fill_null(pc.list_value_length(found), 0).to_numpy(zero_copy_only=False).astype(np.int64)
             text = np.repeat(np.arange(len(size)), own)
-            m, token = (x.to_numpy(zero_copy_only=False) for x in found.flatten().flatten())
-            token = token.view(np.uint64)
+            token = found.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            level = token & np.uint64(255)
             take = np.clip(_prefix(size, percent) - (batch.column("counted").to_numpy() - own), 0, own)
             lists = []
             for i, (salt, c) in enumerate(zip(_SALTS, ("first", "second"), strict=True)):
-                rare = m if i == 0 else np.frexp(m)[1]  # the second order takes frequencies by powers of two
+                rare = level if i == 0 else level >> np.uint64(3)  # the second order takes frequencies by powers of two
                 chosen = token[_least((mix(token ^ salt), rare), text, take)]
                 more = batch.column(c)
                 size_of = pc.list_value_length(more).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -199,20 +201,23 @@ def _components(rows: DataFrame, n: int, percent: int) -> DataFrame:
     def fetch(batches):
         for batch in batches:
             out = []
-            for rid, z, groups in zip(batch.column("rid").to_pylist(), batch.column("z"), batch.column("groups"), strict=True):
-                raw = np.frombuffer(unpack(z.as_py()), np.uint8)
-                tokens = sets(raw, np.array([0, len(raw)]), n)[0].tobytes()
-                for g in groups.as_py():
-                    out.append((g["lead"], g["band"], g["low"], g["high"], g["block"], rid, tokens))
+            for rid, z, groups in zip(batch.column("rid").to_pylist(), batch.column("z").to_pylist(), batch.column("groups").to_pylist(), strict=True):
+                for g in groups:
+                    out.append((g["lead"], g["band"], g["low"], g["high"], g["block"], rid, z))  # shorter than its tokens
                     if len(out) >= 512:
                         yield member_batch(out)
                         out = []
             if out:
                 yield member_batch(out)
 
-    gathered = packed(rows).join(wanted, "rid").select("rid", "z", "groups").mapInArrow(lean(fetch), MEMBER)
+    def read(raw: list[bytes]) -> list[np.ndarray]:
+        hashed, first = sets(*flat(pa.array([unpack(z) for z in raw], pa.large_binary())), n)
+        return [hashed[a:b].copy() for a, b in zip(first, first[1:], strict=False)]
 
-    links = stored(meet(gathered, percent), "links", after=(members,))
+    # both sides grow with the corpus, so neither is ever broadcast
+    gathered = packed(rows).join(wanted.hint("merge"), "rid").select("rid", "z", "groups").mapInArrow(lean(fetch), MEMBER)
+
+    links = stored(meet(gathered, percent, read), "links", after=(members,))
     roots = components(links)
     degree = links.select("a").union(links.select("b")).groupBy("a").agg(F.count("*").alias("links")).withColumnRenamed("a", "node")
     found = nodes.join(roots.join(degree, "node").withColumnRenamed("node", "rep"), "rep", "left")
