@@ -1,37 +1,39 @@
 """Byte-pair encoding and decoding by a table of distinct words.
 
 Texts are cut before every single space that stands between two characters that aren't white space, where the
-pre-tokenizer starts a word whatever stands around. Spark gathers the distinct words of all chunks of texts; those that occur in
-more than one chunk are encoded once, into a table of words and ids, which is broadcast up to
-``TABLE_BYTES`` (beyond that, the words of most chunks; the others are encoded where they occur). A word of one chunk alone is encoded there,
-once as well. Ids are joined back by position: Arrow's dictionary encoding gives every word's place in the chunk's distinct
-words. Decoding joins ids with the table of their byte pieces.
+pre-tokenizer starts a word whatever stands around. Chunks of texts tell their distinct words, each with its place among them; words meet
+by themselves, those that more than one chunk has are encoded once, and their ids go back to the chunks by place, where they meet the
+chunks' texts. A word that one chunk alone has is encoded there, once as well. Arrow's dictionary encoding gives every occurrence's place
+in its chunk's distinct words, by which ids are joined to positions. Decoding joins ids with the table of their byte pieces.
 A text in which some cut isn't safe (white space beside a space, or an added token's string) is encoded whole.
 
+A chunk is named by a 128-bit hash of its texts, so ids never reach other words, even if a lost task is run again with other chunks;
+words whose ids don't come are encoded where they occur.
+
 Defined results: null and empty texts have no ids and decode to the empty text; repeated rows and ids
 give a row each.
 """
 
 from __future__ import annotations
 
-import itertools
 import json
-import uuid
 from array import array
+from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._arrow import chunks, flat, lean, per_text, sha256, texts
+from ._arrow import bounded, chunks, flat, lean, sha256, texts
 from ._tables import stored
 
-#: Words beside the table whose ids a worker remembers from one chunk to the next; bytes of the broadcast table; bytes of a chunk.
-REMEMBERED, TABLE_BYTES, CHUNK = 100_000, 48 << 20, 4 << 20
+#: Bytes of a chunk.
+CHUNK = 4 << 20
 _MODELS: dict[str, tuple] = {}
-_TABLES: dict[str, dict[str, bytes]] = {}
 #: White space of the pre-tokenizer's pattern, at either end of a word.
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -55,7 +57,7 @@ def _model(path: str):
         for i in range(model.get_vocab_size(with_added_tokens=True)):
             piece = model.id_to_token(i) or ""
             pieces.append(bytes(table[c] for c in piece) if piece not in added and all(c in table for c in piece) else piece.encode())
-        _MODELS[path] = model, added, pa.array(pieces, pa.large_binary()), {}
+        _MODELS[path] = model, added, pa.array(pieces, pa.large_binary())
     return _MODELS[path]
 
 
@@ -67,70 +69,23 @@ def _ids(model, words: list[str]) -> list[bytes]:
     return out
 
 
-def _encode(path: str, words: list[str], table: dict[str, bytes]) -> list[bytes]:
-    """Ids of each of some distinct words: from the table, from memory, or from the tokenizer."""
-    model, _, _, known = _model(path)
-    missing = [w for w in words if w not in table and w not in known]
-    found = dict(zip(missing, _ids(model, missing), strict=True))
-    out = [table[w] if w in table else found[w] if w in found else known[w] for w in words]
-    if len(known) + len(found) > REMEMBERED:
-        known.clear()
-    known.update(itertools.islice(found.items(), REMEMBERED))
-    return out
-
-
 def _unsafe(word: str) -> bool:
     return not word or word.strip(_SPACE) != word
 
 
-def word_table(rows: DataFrame, path: str, max_bytes: int = 0):
-    """A broadcast (words, ids) of the words, each with the space before it, that more than one chunk of texts has."""
-    spark = rows.sparkSession
+@dataclass
+class Cut:
+    """A chunk's texts, cut: its distinct words (spaces before them included), and what stands where."""
 
-    def split(batches):
-        for part in chunks(batches, limit=CHUNK):
-            found = pc.split_pattern(pc.fill_null(part.column("text"), ""), " ").flatten().dictionary_encode().dictionary
-            yield pa.RecordBatch.from_arrays([found.cast(pa.string())], names=["word"])
+    words: pa.Array
+    code: np.ndarray  # of each occurrence, in order, the word
+    text: np.ndarray  # and the text that it is in
+    whole: np.ndarray  # texts that are encoded whole
+    n: int
 
-    def encode(batches):
-        for batch in batches:
-            for at in range(0, len(batch), 20_000):
-                part = batch.slice(at, 20_000)
-                part = part.filter(pa.array([not _unsafe(w) for w in part.column("word").to_pylist()], pa.bool_()))
-                yield part.append_column("ids", pa.array(_ids(_model(path)[0], [" " + w for w in part.column("word").to_pylist()]), pa.binary()))
-
-    shared = rows.select("text").mapInArrow(lean(split), "word string").groupBy("word").agg(F.count("*").alias("n")).where("n > 1")
-    encoded = stored(shared.mapInArrow(lean(encode), "word string, n bigint, ids binary"), "words")
-    # by powers of two of the number of chunks, the commonest words that fit
-    level = F.floor(F.log2("n")).cast("int")
-    sizes = encoded.groupBy(level.alias("level")).agg(F.sum(F.octet_length("word") + F.octet_length("ids") + 8).alias("bytes")).orderBy(F.col("level").desc()).collect()
-    least, total = None, 0
-    for r in sizes:
-        total += r["bytes"]
-        if total > (max_bytes or TABLE_BYTES):
-            break
-        least = r["level"]
-    taken = encoded.where(level >= least).select("word", "ids").toArrow() if least is not None else None
-    return spark.sparkContext.broadcast((uuid.uuid4().hex, taken["word"].combine_chunks(), taken["ids"].combine_chunks()) if taken is not None and len(taken) else None)
-
-
-def _table(shared) -> dict[str, bytes]:
-    """The broadcast table as a worker uses it, made once."""
-    if shared is None or shared.value is None:
-        return {}
-    tag, words, ids = shared.value
-    if tag not in _TABLES:
-        _TABLES.clear()
-        own: dict[str, bytes] = {}
-        for at in range(0, len(words), 100_000):
-            own.update(zip((" " + w for w in words.slice(at, 100_000).to_pylist()), ids.slice(at, 100_000).to_pylist(), strict=True))
-        _TABLES[tag] = own
-    return _TABLES[tag]
-
-
-def encode_chunk(path: str, column: pa.Array, shared: dict[str, bytes] | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, offsets) of the texts of a column, in order."""
-    _, added, _, _ = _model(path)
+
+def cut(path: str, column: pa.Array) -> Cut:
+    added = _model(path)[1]
     column = pc.fill_null(column, "")
     n = len(column)
     odd = pc.equal(column, "")
@@ -143,35 +98,136 @@ def encode_chunk(path: str, column: pa.Array, shared: dict[str, bytes] | None =
     lead = np.zeros(len(flat_words), bool)
     lead[at[:-1]] = True
     plain = flat_words.dictionary_encode()
-    listed = plain.dictionary.to_pylist()
-    bad = np.fromiter(map(_unsafe, listed), bool, len(listed))
+    bad = np.fromiter(map(_unsafe, plain.dictionary.to_pylist()), bool, len(plain.dictionary))
     index = plain.indices.to_numpy().astype(np.int64)
     odd = odd.to_numpy(zero_copy_only=False) | (np.logical_or.reduceat(bad[index], at[:-1]) if n else np.zeros(0, bool))
     per_word = np.diff(at)
     skip = np.repeat(odd, per_word)
     size = len(plain.dictionary)
-    code = np.where(lead, index + size, index)  # of the distinct words, and of those without a space before them
-    code = code[~skip]
+    code = np.where(lead, index + size, index)[~skip]  # of the distinct words, and of those without a space before them
     seen = np.zeros(2 * size, bool)
     seen[code] = True
     used = np.flatnonzero(seen)
-    code = (np.cumsum(seen) - 1)[code]
-    table = _encode(path, [" " + listed[i] if i < size else listed[i - size] for i in used], shared or {})
-    whole = np.flatnonzero(odd)
-    table += [array("I", e.ids).tobytes() for i in whole for e in [_model(path)[0].encode(column[int(i)].as_py(), add_special_tokens=False)]]
+    listed = plain.dictionary.cast(pa.string())
+    spaced, first = listed.take(pa.array(used[used < size])), listed.take(pa.array(used[used >= size] - size))
+    words = pa.concat_arrays([pc.binary_join_element_wise(pa.scalar(" "), spaced, ""), first])
+    return Cut(words, (np.cumsum(seen) - 1)[code], np.repeat(np.arange(n), per_word)[~skip], np.flatnonzero(odd), n)
+
+
+def encode_chunk(path: str, column: pa.Array, places: np.ndarray | None = None, known: pa.Array | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, offsets) of the texts of a column, in order; known: ids (little-endian, 32 bits) of the words at some places, each once."""
+    own, model = cut(path, column), _model(path)[0]
+    size = len(own.words)
+    given = np.zeros(size, np.int64)
+    have = np.zeros(size, bool)
+    if places is not None and len(places):
+        have[places] = True
+        given[places] = np.arange(len(places))
+    missing = np.flatnonzero(~have)
+    table = _ids(model, own.words.take(pa.array(missing)).to_pylist())
+    table += [array("I", e.ids).tobytes() for i in own.whole for e in [model.encode(column[int(i)].as_py() or "", add_special_tokens=False)]]
+    data, cuts = flat(known) if known is not None else (np.zeros(0, np.uint8), np.zeros(1, np.int64))
+    own_cuts = np.concatenate(([0], np.cumsum(np.fromiter(map(len, table), np.int64, len(table)))))
+    # the pool: ids that came, then those of words and texts that are encoded here
+    pool = np.concatenate((data, np.frombuffer(b"".join(table), np.uint8))).view("<u4")
+    begins, lengths = (np.zeros(size + len(own.whole), np.int64) for _ in range(2))
+    here = np.concatenate((missing, size + np.arange(len(own.whole))))
+    begins[here], lengths[here] = (own_cuts[:-1] + len(data)) // 4, np.diff(own_cuts) // 4
+    there = np.flatnonzero(have)
+    begins[there], lengths[there] = cuts[given[there]] // 4, (cuts[given[there] + 1] - cuts[given[there]]) // 4
     # one entry for each word, or for each text encoded whole, in order of the texts
-    entry_doc = np.concatenate([np.repeat(np.arange(n), per_word)[~skip], whole])
-    entry = np.concatenate([code, len(used) + np.arange(len(whole))])
-    entry = entry[np.argsort(entry_doc, kind="stable")] if len(whole) else entry
-    lengths = np.fromiter(map(len, table), np.int64, len(table)) // 4
-    begins = np.concatenate(([0], np.cumsum(lengths)))
-    pool = np.frombuffer(b"".join(table), "<u4")
+    entry, text = own.code, own.text
+    if len(own.whole):
+        entry, text = np.concatenate((entry, size + np.arange(len(own.whole)))), np.concatenate((text, own.whole))
+        order = np.argsort(text, kind="stable")
+        entry, text = entry[order], text[order]
     take = lengths[entry]
     ends = np.cumsum(take)
     # the join by position: each entry's ids stand in the pool from begins[entry]
     ids = pool[np.repeat(begins[entry] - (ends - take), take) + np.arange(ends[-1] if len(ends) else 0)]
-    tokens = np.bincount(np.sort(entry_doc) if len(whole) else entry_doc, take, n).astype(np.int64)
-    return ids, np.concatenate(([0], np.cumsum(tokens)))
+    return ids, np.concatenate(([0], np.cumsum(np.bincount(text, take, own.n).astype(np.int64))))
+
+
+def _name(column: pa.Array) -> bytes:
+    data, offsets = flat(column)
+    told = xxhash.xxh3_128(offsets.tobytes())
+    told.update(np.ascontiguousarray(data))
+    return told.digest()
+
+
+def _named(name: bytes, n: int) -> pa.Array:
+    return pa.array([name], pa.binary()).take(pa.array(np.zeros(n, np.int64)))
+
+
+def shared_words(rows: DataFrame, path: str) -> DataFrame:
+    """(chunk, place, data): the ids of the words that more than one chunk of texts has, for each chunk and place."""
+
+    def tell(batches):
+        for part in chunks(batches, limit=CHUNK):
+            words = cut(path, part.column("text")).words
+            name = _name(part.column("text"))
+            for at in range(0, len(words), 20_000):
+                some = words.slice(at, 20_000)
+                yield pa.RecordBatch.from_arrays([_named(name, len(some)), pa.array(np.arange(at, at + len(some), dtype=np.int32)), some], names=["chunk", "place", "word"])
+
+    def encode(batches):
+        model, last = _model(path)[0], (None, None)
+        for batch in batches:
+            if not len(batch):
+                continue
+            words = batch.column("word").dictionary_encode()
+            listed = words.dictionary.to_pylist()
+            known = [last[1]] if listed[0] == last[0] else []  # words come in order, so one may go on from the batch before
+            ids = known + _ids(model, listed[len(known) :])
+            last = listed[-1], ids[-1]
+            yield pa.RecordBatch.from_arrays([batch.column("chunk"), batch.column("place"), pa.array(ids, pa.binary()).take(words.indices)], names=["chunk", "place", "data"])
+
+    told = rows.select("text").mapInArrow(lean(tell), "chunk binary, place int, word string").repartition("word")
+    shared = told.withColumn("n", F.count("*").over(Window.partitionBy("word"))).where("n > 1").select("chunk", "place", "word")
+    return stored(shared.mapInArrow(lean(encode), "chunk binary, place int, data binary"), "words")
+
+
+def _encoded(rows: DataFrame, path: str, fields: str, work: Callable[[np.ndarray, np.ndarray], list]) -> DataFrame:
+    """doc_id and what work makes of each chunk's ids and offsets."""
+    words = shared_words(rows, path).select("chunk", F.lit(0).alias("kind"), "place", "data")
+
+    def pack(batches):
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        for part in chunks(batches, limit=CHUNK):
+            out = pa.BufferOutputStream()
+            with pa.ipc.new_stream(out, part.schema, options=options) as stream:
+                stream.write_batch(part)
+            yield pa.RecordBatch.from_arrays([pa.array([_name(part.column("text"))], pa.binary()), pa.array([1], pa.int32()), pa.array([0], pa.int32()), pa.array([out.getvalue().to_pybytes()], pa.binary())], names=["chunk", "kind", "place", "data"])
+
+    names = ["doc_id", *(x.strip().split(" ")[0] for x in fields.split(","))]
+
+    def meet(batches):
+        key, held, ready = None, [], None
+        for batch in batches:
+            chunk, kind = batch.column("chunk"), batch.column("kind").to_numpy()
+            listed = chunk.dictionary_encode()
+            number = listed.indices.to_numpy()
+            edges = np.flatnonzero(np.concatenate(([True], (number[1:] != number[:-1]) | (kind[1:] != kind[:-1]), [True]))) if len(batch) else []
+            for a, b in zip(edges, edges[1:], strict=False):
+                own = chunk[int(a)].as_py()
+                if own != key:
+                    key, held, ready = own, [], None
+                if kind[a] == 0:
+                    held.append(batch.slice(a, b - a))
+                    continue
+                if ready is None:
+                    # equal chunks tell their words twice
+                    place = np.concatenate([x.column("place").to_numpy() for x in held]) if held else np.zeros(0, np.int32)
+                    place, first = np.unique(place, return_index=True)
+                    ready = place, pa.concat_arrays([x.column("data") for x in held]).take(pa.array(first)) if held else pa.array([], pa.binary())
+                for i in range(a, b):
+                    with pa.ipc.open_stream(pa.py_buffer(batch.column("data")[int(i)].as_buffer())) as stream:
+                        for part in stream:
+                            yield pa.RecordBatch.from_arrays([part.column("doc_id"), *work(*encode_chunk(path, part.column("text"), *ready))], names=names)
+
+    both = words.unionByName(rows.mapInArrow(lean(pack), "chunk binary, kind int, place int, data binary"))
+    # a chunk is of bounded size, so no task gets more than its share
+    return both.repartition("chunk").sortWithinPartitions("chunk", "kind", "place").mapInArrow(lean(meet), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {fields}")
 
 
 def decode_chunk(path: str, ids: np.ndarray, offsets: np.ndarray) -> list[bytes]:
@@ -190,20 +246,18 @@ def decode_chunk(path: str, ids: np.ndarray, offsets: np.ndarray) -> list[bytes]
     return out
 
 
-def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and ids (array of int) of every whole text."""
-    rows = texts(docs, id_col, text_col)
-    shared = word_table(rows, model_path)
+def _ids_column(ids: np.ndarray, offsets: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.astype(np.int32)))
 
-    def work(part: pa.RecordBatch) -> list:
-        ids, offsets = encode_chunk(model_path, part.column("text"), _table(shared))
-        return [pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.astype(np.int32)))]
 
-    return per_text(rows, "ids array<int>", work, limit=CHUNK)
+def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id and ids (array of int) of every whole text."""
+    return _encoded(texts(docs, id_col, text_col), model_path, "ids array<int>", lambda ids, offsets: [_ids_column(ids, offsets)])
 
 
 def decode(encoded: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """doc_id and text of arrays of ids; a null array is an empty text."""
+    bounded(encoded.sparkSession)
     rows = encoded.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{ids_col}`"), F.array().cast("array<int>")).alias("ids"))
 
     def run(batches):
@@ -219,15 +273,10 @@ def decode(encoded: DataFrame, model_path: str, id_col: str = "doc_id", ids_col:
 def digest(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, and SHA-256 of the ids (little-endian, 32 bits) and of the decoded text; with_ids: the ids too."""
 
-    rows = texts(docs, id_col, text_col)
-    shared = word_table(rows, model_path)
-
-    def work(part: pa.RecordBatch) -> list:
-        ids, offsets = encode_chunk(model_path, part.column("text"), _table(shared))
+    def work(ids: np.ndarray, offsets: np.ndarray) -> list:
         raw = memoryview(np.ascontiguousarray(ids.astype("<u4")).view(np.uint8))
         shas = [sha256(raw[4 * a : 4 * b]) for a, b in zip(offsets, offsets[1:], strict=False)]
         out = [pa.array(np.diff(offsets)), pa.array(shas, pa.string()), pa.array([sha256(x) for x in decode_chunk(model_path, ids, offsets)], pa.string())]
-        return [*out, pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids.astype(np.int32)))] if with_ids else out
+        return [*out, _ids_column(ids, offsets)] if with_ids else out
 
-    fields = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return per_text(rows, fields + ", ids array<int>" * with_ids, work, limit=CHUNK)
+    return _encoded(texts(docs, id_col, text_col), model_path, "n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids, work)
