@@ -7,7 +7,8 @@ sample of texts whose labels are the fixed patterns' spans and generated secrets
 a table of fixed size. Lines are decoded by Viterbi, all lines of a chunk at once.
 
 Spans are in code points, end exclusive. ``base`` spans: kinds assign, access, hex. ``crf`` spans that
-touch a base span are dropped. Defined results: null and empty texts have no spans.
+touch a base span are dropped. Defined results: null and empty texts have no spans; repeated rows and ids give a row each, ids may be of
+any type; of spans that start at the same place the kinds' order counts, and of equally good taggings the one with the lower labels.
 """
 
 from __future__ import annotations
@@ -189,15 +190,15 @@ def viterbi(field: Field, tokens: Tokens) -> np.ndarray:
     return label
 
 
-def train(tokens: Tokens, labels: np.ndarray, epochs: int = 12, rate: float = 0.3, l2: float = 1e-4) -> Field:
+def train(tokens: Tokens, labels: np.ndarray, epochs: int = 12, rate: float = 0.3, l2: float = 1e-4, max_tokens: int = 400) -> Field:
     """AdaGrad on the negative log-likelihood, in batches of lines; gradients by forward-backward."""
     field = Field(np.zeros((FEATURES, LABELS), np.float64), np.zeros((LABELS, LABELS)), np.zeros(LABELS))
     params = (field.emission, field.transition, field.start)
     squares = [np.full_like(p, 1e-2) for p in params]
-    # every line with a secret and as many of the others, none of over 400 tokens
+    # every line with a secret and as many of the others, none of over max_tokens
     size, some = np.diff(tokens.line), np.add.reduceat(labels, tokens.line[:-1]) > 0
-    other = np.flatnonzero(~some & (size <= 400))
-    lines = np.concatenate((np.flatnonzero(some & (size <= 400)), other[:: max(1, len(other) // max(1, 6 * int(some.sum())))]))
+    other = np.flatnonzero(~some & (size <= max_tokens))
+    lines = np.concatenate((np.flatnonzero(some & (size <= max_tokens)), other[:: max(1, len(other) // max(1, 6 * int(some.sum())))]))
     pick = np.random.default_rng(7)
     for _ in range(epochs):
         pick.shuffle(lines)
@@ -287,15 +288,16 @@ def examples(values: list[str], seed: int = 5) -> tuple[list[str], list[list[tup
     return out, spans
 
 
-def learn(docs: DataFrame, max_rows: int = 300, id_col: str = "doc_id", text_col: str = "text") -> Field:
-    """A field trained on at most max_rows texts of at most 8,000 characters, those with the lowest hashes."""
+def learn(docs: DataFrame, max_rows: int = 300, max_chars: int = 8_000, max_tokens: int = 400, id_col: str = "doc_id", text_col: str = "text") -> Field:
+    """A field trained on at most max_rows texts of at most max_chars characters, those with the lowest hashes, and of them on lines
+    of at most max_tokens tokens. These bounds are of training alone; scans read whole texts and lines."""
     rows = texts(docs, id_col, text_col)
-    short = rows.where(F.col("text").isNotNull() & (F.length("text") <= 8_000))
+    short = rows.where(F.col("text").isNotNull() & (F.length("text") <= max_chars))
     rows = lowest(short, rows.select("doc_id").count(), max_rows, "doc_id", "text")
-    return fit([r.text for r in rows])
+    return fit([r.text for r in rows], max_tokens)
 
 
-def fit(values: list[str]) -> Field:
+def fit(values: list[str], max_tokens: int = 400) -> Field:
     values, spans = examples(values)
     column = pa.array(values, pa.string())
     data, offsets = flat(column)
@@ -308,7 +310,7 @@ def fit(values: list[str]) -> Field:
             labels[x : x + 1] = 1
     if not len(labels):
         return Field(np.zeros((FEATURES, LABELS), np.float32), np.zeros((LABELS, LABELS)), np.array([1.0, 0, 0]))
-    return train(tokens, labels)
+    return train(tokens, labels, max_tokens=max_tokens)
 
 
 def spans_of(data: np.ndarray, offsets: np.ndarray, field: Field) -> list[list[tuple[int, int, int]]]:
