@@ -1,7 +1,7 @@
 """Language identification: sparse multinomial logistic regression on TF-IDF character n-grams.
 
-The model is learned on the driver from at most ``max_rows`` labelled rows (the documented bound of the
-sample; those whose ids hash lowest), by follow-the-regularised-leader with elastic-net penalties, and its scores are
+Document frequencies of the hashed n-grams are counted over all labelled rows that aren't held out. The weights are learned on the driver
+from at most ``max_rows`` of them (the documented bound of the sample; those whose ids hash lowest), by follow-the-regularised-leader with elastic-net penalties, and its scores are
 calibrated by a temperature fitted on a fifth of that sample. N-grams are hashed into a fixed number of
 features, so the model's size is fixed by its parameters and the number of languages in the sample. Prediction
 reads whole texts in Arrow batches; it sees nothing but the text.
@@ -91,8 +91,8 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def fit(rows: list[tuple[str, str]], epochs: int = 3, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.002, l2: float = 0.01) -> Model | None:
-    """rows: (text, language), in a fixed order; every fifth calibrates."""
+def fit(rows: list[tuple[str, str]], epochs: int = 3, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.002, l2: float = 0.01, counted: tuple[np.ndarray, int] | None = None) -> Model | None:
+    """rows: (text, language), in a fixed order; every fifth calibrates. counted: documents with each feature, and documents (without: of the rows)."""
     languages = sorted({x[1] for x in rows})
     if not languages:
         return None
@@ -104,7 +104,8 @@ def fit(rows: list[tuple[str, str]], epochs: int = 3, alpha: float = 0.5, beta:
         feature, count = np.unique(np.concatenate([f[a[i] : a[i + 1]] for f, a in parts]), return_counts=True)
         df[feature] += 1
         docs.append((feature, count / max(1, total[i]) * SCALE))
-    idf = np.log((1 + len(rows)) / (1 + df)) + 1
+    df, total_rows = counted or (df, len(rows))
+    idf = np.log((1 + total_rows) / (1 + df)) + 1
     k = len(languages)
     z, n = np.zeros((FEATURES, k)), np.zeros((FEATURES, k))
     zb, nb = np.zeros(k), np.zeros(k)
@@ -145,8 +146,33 @@ def learn(docs: DataFrame, max_rows: int = 2000, id_col: str = "doc_id", text_co
     """A model of at most max_rows labelled rows that aren't held out, those with the lowest hashes."""
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang"))
     rows = rows.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    some = lowest(rows.where(F.col("text").isNotNull()), rows.select("doc_id").count(), max_rows, "doc_id", "text", "lang")
-    return fit([(r.text, r.lang) for r in some])
+    bounded(rows.sparkSession)
+    rows = rows.where(F.col("text").isNotNull())
+    counted = document_frequencies(rows)
+    some = lowest(rows, counted[1], max_rows, "doc_id", "text", "lang")
+    return fit([(r.text, r.lang) for r in some], counted=counted)
+
+
+def document_frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
+    """How many of the texts have each feature, and how many there are; FEATURES + 1 numbers reach the driver."""
+
+    def count(batches):
+        total = np.zeros(FEATURES + 1, np.int64)
+        for part in chunks(batches, limit=1 << 18):
+            own, _, _ = grams(part.column("text").to_pylist())
+            n = len(part)
+            key = np.concatenate([np.repeat(np.arange(n), np.diff(first)) * FEATURES + feature for feature, first in own])
+            key.sort()
+            key = key[np.concatenate(([True], key[1:] != key[:-1]))] if len(key) else key
+            total[:FEATURES] += np.bincount(key % FEATURES, minlength=FEATURES)
+            total[FEATURES] += n
+        full = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array(total[full])], names=["feature", "n"])
+
+    out = np.zeros(FEATURES + 1, np.int64)
+    for r in rows.select("text").mapInArrow(lean(count), "feature int, n bigint").groupBy("feature").agg(F.sum("n").alias("n")).toLocalIterator():
+        out[r.feature] = r.n
+    return out[:FEATURES].astype(float), int(out[FEATURES])
 
 
 def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
