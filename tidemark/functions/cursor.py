@@ -7,6 +7,7 @@ from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 INTEGER, TIMESTAMP = "integer", "timestamp"
 _FORMAT = "yyyy-MM-dd HH:mm:ss.SSS"
@@ -36,16 +37,39 @@ def _mark(cursor: Cursor, mark: str) -> Column:
     return F.lit(int(mark)) if cursor.kind == INTEGER else F.lit(mark)
 
 
+def parsed_mark(mark: str) -> datetime | None:
+    """A timestamp mark's time (UTC, without zone); None: it isn't one."""
+    try:
+        return datetime.strptime(mark, "%Y-%m-%d %H:%M:%S.%f")
+    except ValueError:
+        return None
+
+
 def max_cursor(df: DataFrame, cursor: Cursor) -> str:
     """The greatest value, as text; "" without any."""
     value = df.agg(F.max(cursor_value(cursor))).first()[0]
     return "" if value is None else str(value)
 
 
-def advance(cursor: Cursor, mark: str, inclusive: bool = False) -> Column:
-    """Rows past the mark (or on it); everything without a mark; rows without a readable cursor never, once there is one."""
+def later(cursor: Cursor, a: str, b: str) -> str:
+    """The greater of two marks; "" is less than any."""
+    if not a or not b:
+        return a or b
+    return max(a, b, key=int) if cursor.kind == INTEGER else max(a, b)
+
+
+def advance(cursor: Cursor, mark: str, inclusive: bool = False, kind: T.DataType | None = None) -> Column:
+    """Rows past the mark (or on it); everything without a mark; rows without a readable cursor never, once there is one.
+
+    kind: the column's type. Native timestamps are compared as they are, which files are pruned by: what rounds to more than
+    the mark lies half a millisecond or more beyond it.
+    """
     if not mark:
         return F.lit(True)
+    at = parsed_mark(mark) if cursor.kind == TIMESTAMP and isinstance(kind, (T.TimestampType, T.TimestampNTZType)) else None
+    if at is not None:
+        edge = at + timedelta(microseconds=-500 if inclusive else 500)
+        return F.col(f"`{cursor.column}`") >= F.lit(edge.isoformat(sep=" ")).cast(kind)
     value, mark = cursor_value(cursor), _mark(cursor, mark)
     return value >= mark if inclusive else value > mark
 
@@ -54,22 +78,16 @@ def back(cursor: Cursor, mark: str, overlap: timedelta) -> str:
     """The mark less an overlap; integers and texts that aren't marks stay."""
     if cursor.kind != TIMESTAMP or not mark:
         return mark
-    try:
-        at = datetime.strptime(mark, "%Y-%m-%d %H:%M:%S.%f")
-    except ValueError:
-        return mark
-    return (at - overlap).isoformat(sep=" ", timespec="milliseconds")
+    at = parsed_mark(mark)
+    return mark if at is None else (at - overlap).isoformat(sep=" ", timespec="milliseconds")
 
 
 def lag_seconds(cursor: Cursor, mark: str, now: datetime) -> float | None:
     """Seconds between a timestamp mark and now; None where there is no such thing."""
     if cursor.kind != TIMESTAMP or not mark:
         return None
-    try:
-        at = datetime.strptime(mark, "%Y-%m-%d %H:%M:%S.%f").replace(tzinfo=UTC)
-    except ValueError:
-        return None
-    return (now - at).total_seconds()
+    at = parsed_mark(mark)
+    return None if at is None else (now - at.replace(tzinfo=UTC)).total_seconds()
 
 
 def open_rows(state: str, terminal) -> Column:
