@@ -45,6 +45,28 @@ def test_filters(golden, f, want):
     assert [r.id for r in golden.where(compile_filters([f])).orderBy("id").collect()] == want
 
 
+@pytest.mark.parametrize(
+    ("f", "want"),
+    [(Filter("status", "eq", 10), []), (Filter("status", "lt", 10), []), (Filter("status", "ne", 1), [1, 2, 3, 4]), (Filter("cost", "eq", "2"), [2]), (Filter("cost", "gt", "1.5"), [2, 3]),
+     (Filter("cost", "lt", "word"), [1, 2, 3]), (Filter("cost", "gt", "word"), []), (Filter("cost", "ne", "word"), [1, 2, 3, 4]), (Filter("cost", "in", ["1", "word"]), [1]),
+     (Filter("cost", "in", ["word"]), []), (Filter("cost", "not_in", ["word", 3]), [1, 2, 4]), (Filter("id", "eq", True), [1]), (Filter("id", "gte", " 3 "), [3, 4]), (Filter("status", "like", 1), [])],
+)
+def test_filters_of_other_types(golden, f, want):
+    """As the source compares: text columns as text; text that reads as a number is one for a number column, other text lies above."""
+    assert [r.id for r in golden.where(compile_filters([f], golden.schema)).orderBy("id").collect()] == want
+
+
+def test_native_timestamps_are_pushed(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    texts = ["2026-01-01 00:00:00.0004", "2026-01-01 00:00:00.0005", "2026-01-01 00:00:00.001", "2026-01-01 00:00:00.0015", None]
+    spark.createDataFrame([(t,) for t in texts], "v string").select(F.col("v").cast("timestamp").alias("v")).write.parquet(path)
+    df = spark.read.parquet(path)
+    for inclusive in (True, False):
+        own, other = (advance(TS, "2026-01-01 00:00:00.001", inclusive, kind) for kind in (T.TimestampType(), None))
+        assert df.where(own).count() == df.where(other).count() == (3 if inclusive else 1)
+        assert "GreaterThanOrEqual(v" in df.where(own)._jdf.queryExecution().toString()
+
+
 def test_like_is_ascii_only(spark):
     df = spark.createDataFrame([("É\\x",), ("é\\X",)], "s string")
     assert [r.s for r in df.where(Filter("s", "like", "é\\x").condition()).collect()] == ["é\\X"]

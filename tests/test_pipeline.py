@@ -113,6 +113,129 @@ def test_parent_and_snapshot(world):
     assert runner.lags().keys() == {"flows"}
 
 
+def test_child_of_a_parent_that_stands_still(world):
+    """A child that comes long after its parent moved last, and one of a parent that never moves."""
+    world.sql("INSERT INTO flows VALUES ('f','2026-01-01 00:00:00'),('g','2026-01-05 00:00:00'); INSERT INTO shots VALUES ('g','1')")
+    runner = world.runner("flows", "shots")
+    ran(runner.sync())
+    world.sql("INSERT INTO shots VALUES ('f','late')")
+    ran(runner.sync())
+    assert world.rows("shots", "flow_id", "body") == [("f", "late"), ("g", "1")]
+
+
+def test_default_catalog_reads_findings_after_their_run(spark, tmp_path):
+    from tidemark.plans import catalog as catalogs
+
+    world = World(spark, tmp_path)
+    world.sql("CREATE TABLE improvement_runs (id TEXT PRIMARY KEY, created_at TIMESTAMP); CREATE TABLE improvement_findings (id TEXT PRIMARY KEY, run_id TEXT, rationale TEXT)")
+    world.sql("INSERT INTO improvement_runs VALUES ('r','2026-01-01 00:00:00')")
+    catalog = catalogs.load()
+    plans = [TablePlan(catalog.tables[n], exclude={"patch", "baseline_metrics"}) for n in ("improvement_runs", "improvement_findings")]
+    runner = Runner(spark, SqliteSource(spark, world.path, 2), world.store, Plan(plans), catalog, "here", timedelta(seconds=30))
+    runner.migrate()
+    ran(runner.sync())
+    world.sql("INSERT INTO improvement_runs VALUES ('s','2026-02-01 00:00:00'); INSERT INTO improvement_findings VALUES ('x','r','why')")
+    ran(runner.sync())
+    world.sql("UPDATE improvement_findings SET rationale='changed'")
+    ran(runner.sync())
+    assert world.rows("improvement_findings", "id", "rationale") == [("x", "changed")]
+
+
+def test_a_pass_reads_its_source_once(spark, tmp_path):
+    from tidemark.sources.frames import FrameSource
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    base = spark.createDataFrame([(i, "x" if i % 3 else "no json") for i in range(30)], "id long, meta string")
+    table = Table("events", "append_only", ("id",), Cursor("id", "integer"), json_columns=("meta",))
+    store = TargetStore(spark, str(tmp_path / "t"), buckets=2)
+    runner = Runner(spark, FrameSource({"events": base.mapInArrow(count, base.schema)}, {"events": ["id"]}), store, Plan([TablePlan(table, json_columns=["meta"])]), Catalog({"events": table}), "here")
+    runner.migrate()
+    done = ran(runner.sync())
+    assert done.rows == 30 and done.quarantined == 30 and seen.value == 30
+    assert store.marks("here")["events"].value == "29"
+
+
+def test_marks_never_move_back(world):
+    world.sql("INSERT INTO events VALUES (5,'a',NULL,1,NULL)")
+    runner = world.runner("events")
+    ran(runner.sync())
+    world.sql("DELETE FROM events")
+    ran(runner.sync())
+    assert world.store.marks("here")["events"].value == "5"
+
+
+def test_pushed_marks_leave_no_row_out(world):
+    """SQLite leaves out only what lies well before the mark; zones, odd texts and nulls come as without it."""
+    world.sql("INSERT INTO flows VALUES ('a','2026-01-01 00:00:00'),('b','2026-01-01 23:00:00-04:00'),('c','odd'),('d',NULL),('e','2026-01-02 06:00:00 -0400 EDT'),('f','2025-01-01 00:00:00')")
+    source = SqliteSource(world.spark, world.path, 2)
+    assert sorted(r.id for r in source.read("flows", ["id", "updated_at"], ("updated_at", "2026-01-02 00:00:00.000")).collect()) == ["b", "c", "d", "e"]
+    runner = world.runner("flows")
+    ran(runner.sync())
+    world.sql("INSERT INTO flows VALUES ('g','2026-02-01 00:00:00'),('h','2020-01-01 00:00:00')")
+    assert ran(runner.sync()).rows == 2  # the new one and the last one again
+    assert world.rows("flows", "id")[-1] == ("g",)
+
+
+def test_vacuum(world, monkeypatch):
+    from tidemark.operators import store as stores
+
+    monkeypatch.setattr(stores, "DELTAS", 1)
+    world.sql("INSERT INTO runs VALUES (1,'running',0,NULL)")
+    runner = world.runner("runs")
+    for _ in range(4):
+        ran(runner.sync())
+    before = world.rows("runs", "id", "status")
+    assert world.store.vacuum(keep=2) > 0
+    assert world.rows("runs", "id", "status") == before and world.store.vacuum(keep=2) == 0
+    ran(runner.sync())
+    assert world.rows("runs", "id", "status") == before
+
+
+def test_small_passes_write_their_own_rows(spark, tmp_path, monkeypatch):
+    """Each pass adds files of its rows alone; crowded buckets are compacted, and get more when they have grown."""
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import store as stores
+    from tidemark.sources.frames import FrameSource
+
+    monkeypatch.setattr(stores, "DELTAS", 3)
+    monkeypatch.setattr(stores, "BUCKET_ROWS", 30)
+    table = Table("t", "mutable", ("id",), Cursor("at", "timestamp"))
+    store = TargetStore(spark, str(tmp_path / "t"), buckets=2)
+
+    def source(n):
+        base = spark.range(100).select("id", F.lit("old").alias("v"), F.lit("2026-01-01 00:00:00").alias("at"))
+        moved = spark.range(n).select("id", F.concat(F.lit("new"), F.lit(n).cast("string")).alias("v"), F.concat(F.lit("2026-02-0"), F.lit(n).cast("string"), F.lit(" 00:00:00")).alias("at"))
+        return FrameSource({"t": base.where(F.col("id") >= n).union(moved)}, {"t": ["id"]})
+
+    files = []
+    for n in range(6):
+        runner = Runner(spark, source(n), store, Plan([TablePlan(table)]), Catalog({"t": table}), "here", timedelta(seconds=1))
+        runner.migrate()
+        done = ran(runner.sync())
+        assert done.rows == (100 if n == 0 else n) or n == 1
+        files.append(sum(len(f) for f in store.manifest().tables["t"]["files"].values()))
+        got = {r.id: r.v for r in store.read("t").collect()}
+        assert got == {i: f"new{n}" if i < n else "old" for i in range(100)}
+    assert files[1] > files[0] and store.manifest().tables["t"]["buckets"] == 4
+    assert store.read("t").count() == 100
+
+
+def test_vacuum_of_quarantine(world):
+    for i in range(3):
+        world.sql(f"INSERT INTO events VALUES ({i},'a','no json',1,NULL)")
+        ran(world.runner("events").sync())
+    assert len(world.store.manifest().quarantine) == 3
+    world.store.vacuum(keep=1, quarantine_files=2)
+    assert len(world.store.manifest().quarantine) == 1 and world.store.quarantined().count() == 3
+
+
 def test_replay_instances_and_deletes(world):
     world.sql("INSERT INTO runs VALUES (1,'success',1,NULL),(2,'success',2,NULL)")
     for _ in range(2):

@@ -11,12 +11,12 @@ from datetime import UTC, datetime, timedelta
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.cursor import lag_seconds, max_cursor
+from .functions.cursor import TIMESTAMP, back, cursor_value, lag_seconds, later, max_cursor, parsed_mark
 from .functions.predicates import compile_filters
 from .operators.changes import changed
 from .operators.quarantine import split
 from .operators.store import Mark, TargetStore
-from .plans.catalog import OPEN_ROW, Catalog
+from .plans.catalog import APPEND_ONLY, FOLLOW_PARENT, MUTABLE, OPEN_ROW, Catalog, Table
 from .plans.resolve import Plan, TablePlan
 from .plans.schema import INSTANCE, Change, LiveTable, desired, diff
 
@@ -87,23 +87,29 @@ class Runner:
             out.tables.append(result)
         return out
 
-    def _filtered(self, plan: TablePlan, live: LiveTable) -> DataFrame:
+    def _floor(self, table: Table, mark: str) -> tuple[str, str] | None:
+        """What the source needn't read: of tables that are read by a timestamp mark alone, a second and more before it."""
+        if table.follow not in (APPEND_ONLY, MUTABLE) or not table.cursor or table.cursor.kind != TIMESTAMP or parsed_mark(mark) is None:
+            return None
+        return table.cursor.column, back(table.cursor, mark, self.overlap + timedelta(seconds=1))
+
+    def _filtered(self, plan: TablePlan, live: LiveTable, mark: str = "") -> DataFrame:
         table = plan.table
         needed = {*plan.columns(live.names), *(f.column for f in plan.filters), *(c for e in plan.extras.values() for c in e.references())}
         needed |= {table.cursor.column} if table.cursor else set()
         needed |= {table.state.column} if table.state and table.state.column in live.names else set()
         needed |= {table.parent.local} if table.parent else set()
-        return self.source.read(table.name, [c for c in live.names if c in needed]).where(compile_filters(plan.filters))
+        rows = self.source.read(table.name, [c for c in live.names if c in needed], self._floor(table, mark))
+        return rows.where(compile_filters(plan.filters, rows.schema))
 
     def _table(self, plan: TablePlan, live: LiveTable, mark: Mark, marks: dict[str, Mark] | None = None) -> TableResult:
         table, now = plan.table, datetime.now(UTC)
         schema = desired(plan, live)
-        filtered = self._filtered(plan, live)
-        # the next mark is read before the rows, over the same filters, and stored with them
-        value, follows, parent, parent_table = "", mark.value, None, None
-        if table.cursor:
-            value = max_cursor(filtered, table.cursor) or mark.value
-        elif table.parent:
+        filtered = self._filtered(plan, live, mark.value)
+        follows, parent, parent_table = mark.value, None, None
+        value = mark.value
+        if not table.cursor and table.parent:
+            # the parent's next mark is read before the rows, and stored with them
             parent_table = self.catalog.tables.get(table.parent.table)
             if parent_table and parent_table.cursor and table.parent.table in self.source.reflect():
                 parent = self.source.read(table.parent.table, [table.parent.remote, parent_table.cursor.column])
@@ -111,14 +117,24 @@ class Runner:
         keys = None
         if table.follow == OPEN_ROW and mark.value and table.state and table.state.column in self.store.reflect(table.name):
             keys = self.store.open_keys(table.name, self.instance, table.key[0], table.state.column, table.state.terminal, self.open_limit)
-        rows = changed(filtered, table, follows, self.overlap, keys, parent, parent_table, self.source_side)
+        known = None
+        if table.follow == FOLLOW_PARENT and mark.value and parent is not None and {*table.key} <= {*self.store.reflect(table.name)}:
+            known = self.store.keys(table.name, self.instance, table.key)
+        rows = changed(filtered, table, follows, self.overlap, keys, parent, parent_table, self.source_side, known)
+        # one read: rows, their number and the next mark; all rows past the old mark are among them
         seen = Observation(f"{table.name}-{now.timestamp()}")
-        rows = rows.observe(seen, F.count("*").alias("rows"))
-        good, bad = self._shaped(rows, plan, schema, live, now)
-        kind = table.cursor.kind if table.cursor else None
-        # data, quarantine and mark land in one commit
-        _, refused = self.store.write(table.name, good, bad, self.instance, lambda: Mark(kind, value, seen.get["rows"]), [F.col("_order")])
-        return TableResult(table.name, seen.get["rows"], refused, value)
+        latest = F.max(cursor_value(table.cursor)) if table.cursor else F.lit(None)
+        staged, place = self.store.stage(rows.observe(seen, F.count("*").alias("rows"), latest.cast("string").alias("latest")))
+        try:
+            count = seen.get["rows"]
+            if table.cursor:
+                value = later(table.cursor, mark.value, seen.get["latest"] or "")
+            good, bad = self._shaped(staged, plan, schema, live, now)
+            # data, quarantine and mark land in one commit
+            _, refused = self.store.write(table.name, good, bad, self.instance, Mark(table.cursor.kind if table.cursor else None, value, count), [F.col("_order")])
+        finally:
+            self.store.drop(place)
+        return TableResult(table.name, count, refused, value)
 
     def _shaped(self, rows: DataFrame, plan: TablePlan, schema, live: LiveTable, now: datetime) -> tuple[DataFrame, DataFrame]:
         kept = plan.columns(live.names)

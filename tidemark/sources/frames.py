@@ -26,7 +26,8 @@ class FrameSource:
     def reflect(self) -> dict[str, LiveTable]:
         return {n: LiveTable(n, [(f.name, declared(f.dataType)) for f in df.schema], self.keys.get(n, [])) for n, df in self.tables.items()}
 
-    def read(self, table: str, columns: list[str]) -> DataFrame:
+    def read(self, table: str, columns: list[str], floor: tuple[str, str] | None = None) -> DataFrame:
+        """floor is for sources that Spark's own pushdown doesn't reach."""
         if not columns:
             raise ValueError(f"{table}: no columns to read")
         df = self.tables[table]

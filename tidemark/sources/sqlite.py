@@ -12,6 +12,7 @@ from contextlib import closing
 from pathlib import Path
 from urllib.parse import quote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
@@ -20,6 +21,9 @@ from ..functions.types import affinity
 from ..plans.schema import LiveTable
 
 _KINDS = {"bigint": T.LongType(), "boolean": T.LongType(), "double precision": T.DoubleType(), "bytea": T.BinaryType()}
+#: Classes of values that a column takes as they are, and its Arrow type; rows of a batch.
+_CLASSES = {T.LongType: ({int, type(None)}, pa.int64()), T.DoubleType: ({float, type(None)}, pa.float64()), T.BinaryType: ({bytes, type(None)}, pa.binary()), T.StringType: ({str, type(None)}, pa.string())}
+BATCH = 8192
 _COMPARE = {EqualTo: "=", GreaterThan: ">", GreaterThanOrEqual: ">=", LessThan: "<", LessThanOrEqual: "<="}
 
 
@@ -65,6 +69,7 @@ class SqliteReader(DataSourceReader):
         self.parts = int(options.get("partitions", "8"))
         self.names = [f.name for f in schema if f.name not in ("_order", "_refused")]
         self.tests: list[tuple[str, object]] = []
+        self.floor = (options["floor_column"], options["floor"]) if options.get("floor") and options.get("floor_column") else None
 
     def pushFilters(self, filters):
         """Comparisons of integers go to SQLite; Spark checks every filter again."""
@@ -80,13 +85,17 @@ class SqliteReader(DataSourceReader):
             except sqlite3.OperationalError:  # a table without rowids is read in one go
                 return [_Range(None, None)]
         if low is None:
-            return []
+            return [_Range(0, -1)]  # an empty table: Spark wants a partition
         step = max(1, -(-(high - low + 1) // self.parts))
         return [_Range(a, min(a + step - 1, high)) for a in range(low, high + 1, step)]
 
     def read(self, part: _Range):
+        """Arrow batches."""
         wanted = ", ".join(map(quoted, self.names)) or "1"
         tests, values = [t for t, _ in self.tests], [v for _, v in self.tests]
+        if self.floor:
+            own = f"strftime('%Y-%m-%d %H:%M:%f', {quoted(self.floor[0])})"
+            tests, values = [*tests, f"({own} >= ? OR {own} IS NULL)"], [*values, self.floor[1]]
         if part.low is not None:
             tests, values = [*tests, "rowid BETWEEN ? AND ?"], [*values, part.low, part.high]
         place = "rowid" if part.low is not None else "0"
@@ -94,14 +103,28 @@ class SqliteReader(DataSourceReader):
         kinds = [self.schema[c].dataType for c in self.names]
         with closing(open_readonly(self.path)) as db:
             db.text_factory = lambda raw: raw.decode("utf-8", "replace")
-            for i, (order, *row) in enumerate(db.execute(f"SELECT {place}, {wanted} FROM {quoted(self.table)}{where}", values)):
-                own, refused = [], None
-                for name, kind, value in zip(self.names, kinds, row, strict=False):
-                    held, ok = _held(value, kind)
-                    own.append(held)
-                    if not ok:
-                        refused = refused or f"invalid input for column {name}: {value!r:.200}"
-                yield (*own, order if part.low is not None else i, refused)
+            rows, seen = db.execute(f"SELECT {place}, {wanted} FROM {quoted(self.table)}{where}", values), 0
+            while some := rows.fetchmany(BATCH):
+                order, *columns = zip(*some, strict=True)
+                refused: list[str | None] = [None] * len(some)
+                arrays = [_column(name, kind, column, refused) for name, kind, column in zip(self.names, kinds, columns, strict=False)]
+                order = order if part.low is not None else range(seen, seen + len(some))
+                seen += len(some)
+                yield pa.RecordBatch.from_arrays([*arrays, pa.array(order, pa.int64()), pa.array(refused, pa.string())], names=[*self.names, "_order", "_refused"])
+
+
+def _column(name: str, kind: T.DataType, values: tuple, refused: list[str | None]) -> pa.Array:
+    """A column's values; a row with one of another class gets the reason in refused, if it has none yet."""
+    own, arrow = _CLASSES[type(kind)]
+    if set(map(type, values)) <= own:
+        return pa.array(values, arrow)
+    out = []
+    for i, value in enumerate(values):
+        held, ok = _held(value, kind)
+        out.append(held)
+        if not ok:
+            refused[i] = refused[i] or f"invalid input for column {name}: {value!r:.200}"
+    return pa.array(out, arrow)
 
 
 def _held(value, kind: T.DataType) -> tuple[object, bool]:
@@ -117,7 +140,10 @@ def _held(value, kind: T.DataType) -> tuple[object, bool]:
 
 
 class SqliteDataSource(DataSource):
-    """format("tidemark_sqlite") with options path, table, columns (comma-separated), partitions."""
+    """format("tidemark_sqlite") with options path, table, columns (comma-separated), partitions.
+
+    floor_column, floor: rows whose timestamp text lies before the UTC text floor needn't be read; unreadable ones are.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -142,10 +168,12 @@ class SqliteSource:
     def reflect(self) -> dict[str, LiveTable]:
         return reflect(self.path)
 
-    def read(self, table: str, columns: list[str]) -> DataFrame:
+    def read(self, table: str, columns: list[str], floor: tuple[str, str] | None = None) -> DataFrame:
+        """floor: a column and a UTC text before which its rows needn't be read."""
         if not columns:
             raise ValueError(f"{table}: no columns to read")
-        return self.spark.read.format("tidemark_sqlite").option("path", self.path).option("table", table).option("columns", ",".join(columns)).option("partitions", self.parts).load()
+        reader = self.spark.read.format("tidemark_sqlite").option("path", self.path).option("table", table).option("columns", ",".join(columns)).option("partitions", self.parts)
+        return (reader.option("floor_column", floor[0]).option("floor", floor[1]) if floor else reader).load()
 
     def count(self, table: str) -> int:
         with closing(open_readonly(self.path)) as db:
