@@ -65,6 +65,17 @@ def test_metrics_text():
     assert not m.healthy()
 
 
+def test_reasons():
+    now = [1.0]
+    m = Metrics("i", clock=lambda: now[0])
+    assert m.health() == (False, "no pass has completed yet")
+    m.failed(OSError("down"))
+    assert m.health() == (False, "last pass failed: down")
+    now[0] += 1
+    m.passed(Pass())
+    assert m.health() == (True, "ok")
+
+
 def test_server():
     m = Metrics("i")
     server = serve(m)

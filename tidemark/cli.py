@@ -38,19 +38,25 @@ def _runner(args) -> tuple[Runner, configs.Config]:
 def doctor(args) -> int:
     catalog = catalogs.load(args.catalog) if args.catalog else catalogs.load()
     problems: list[str] = []
+    notes: list[str] = []
     path = args.source
     if args.config:
         try:
             config = configs.load(args.config)
             path = path or config.source.path
             plan = resolve(config, catalog)
-            problems = plan.check({n: t.names for n, t in reflect(path).items()})
+            live = reflect(path)
+            problems = plan.check({n: t.names for n, t in live.items()})
+            if skipped := plan.absent(live):
+                notes.append(f"config: not in this source and skipped: {', '.join(skipped)}")
+            if plan.unwindowed:
+                notes.append(f"config: no time column, so replicated in full: {', '.join(plan.unwindowed)}")
         except ValueError as e:
             problems = [str(e)]
     if not path:
         raise ValueError("doctor needs --source or a configuration with one")
     findings = drift(catalog, reflect(path))
-    print("\n".join([*map(str, findings), *(f"config: {p}" for p in problems)] or ["no findings"]))
+    print("\n".join([*map(str, findings), *(f"config: {p}" for p in problems), *notes] or ["no findings"]))
     return int(bool(problems) or any(f.level == "error" for f in findings))
 
 
@@ -68,8 +74,9 @@ def migrate(args) -> int:
 
 def _pending(runner: Runner, allowed: bool) -> None:
     if found := runner.changes():
-        if not allowed:
-            raise ValueError(f"the target needs {len(found)} change(s); run migrate first")
+        blocked = [f"{c.table}: {c.reason}" for c in found if c.kind == "blocked"]
+        if not allowed or blocked:
+            raise ValueError("; ".join([f"the target needs {len(found)} change(s); run migrate first", *(f"blocked: {b}" for b in blocked)]))
         runner.migrate()
 
 
@@ -81,6 +88,8 @@ def backfill(args) -> int:
         print(f"{t.table}: {t.rows} rows, {t.quarantined} set aside, {t.seconds:.1f} s")
     if done.error:
         raise done.error
+    for name in runner.plan.absent(runner.source.reflect()):
+        print(f"{name}: skipped, not in this source")
     return 0
 
 
@@ -94,11 +103,18 @@ def sync(args) -> int:
         return runner.sync()
 
     def failed(e):
-        metrics.failed()
+        metrics.failed(e)
         print(f"pass failed: {e}", file=sys.stderr)
         return True
 
-    loop = Loop(one, configs.duration(config.interval).total_seconds(), once=args.once, on_pass=lambda p: metrics.passed(p, time.monotonic() - began[0], runner.lags()), on_error=failed)
+    def passed(p):
+        metrics.passed(p, time.monotonic() - began[0], runner.lags())
+        runner.store.vacuum()
+        if args.verbose:
+            for t in p.tables:
+                print(f"{t.table}: {t.rows} rows, {t.quarantined} set aside, {t.seconds:.1f} s", flush=True)
+
+    loop = Loop(one, configs.duration(config.interval).total_seconds(), once=args.once, on_pass=passed, on_error=failed)
     if args.metrics:
         host, _, port = args.metrics.rpartition(":")
         serve(metrics, host or "127.0.0.1", int(port))
@@ -129,6 +145,7 @@ def main(argv: list[str] | None = None) -> int:
         if work is sync:
             own.add_argument("--once", action="store_true")
             own.add_argument("--metrics")
+            own.add_argument("-v", "--verbose", action="store_true", help="say what each pass has done")
     args = parser.parse_args(argv)
     try:
         return args.work(args)

@@ -41,6 +41,10 @@ class Plan:
             raise ValueError(f"not enabled: {', '.join(missing)}")
         return Plan([t for t in self.tables if not names or t.name in names], self.unwindowed)
 
+    def absent(self, live) -> list[str]:
+        """Planned tables that the source lacks; they are skipped."""
+        return [t.name for t in self.tables if t.name not in live]
+
     def check(self, live: dict[str, list[str]]) -> list[str]:
         """Problems of the plan with the source's columns; tables that the source lacks are skipped."""
         found = []

@@ -48,10 +48,14 @@ def drift(catalog: Catalog, live: dict[str, LiveTable]) -> list[Finding]:
         need = [(c, "key") for c in t.key] + ([(t.cursor.column, "cursor")] if t.cursor else []) + ([(t.parent.local, "parent")] if t.parent else [])
         if t.state and t.follow == OPEN_ROW:
             need.append((t.state.column, "state"))
+        elif t.state and t.state.column not in own.names:
+            found.append(Finding("warning", name, f"state column {t.state.column} is missing"))
         found += [Finding("error", name, f"{what} column {c} is missing") for c, what in need if c not in own.names]
-        if t.parent and t.parent.table in live and t.parent.remote not in live[t.parent.table].names:
+        if t.parent and t.parent.table not in live:
+            found.append(Finding("error", name, f"parent table {t.parent.table} is missing"))
+        elif t.parent and t.parent.remote not in live[t.parent.table].names:
             found.append(Finding("error", name, f"parent column {t.parent.table}.{t.parent.remote} is missing"))
-        if set(own.key) != set(t.key):
+        if own.key and set(own.key) != set(t.key):
             found.append(Finding("warning", name, f"primary key is ({', '.join(own.key)}), not ({', '.join(t.key)})"))
         soft = [*((c, "timestamp") for c in t.timestamps), *((c, "json") for c in t.json_columns), *((c, "large") for c in t.large_columns)]
         found += [Finding("warning", name, f"{what} column {c} is missing") for c, what in soft if c not in own.names]

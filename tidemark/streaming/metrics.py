@@ -19,6 +19,7 @@ class Metrics:
         self._lock = threading.Lock()
         self.passes = self.errors = self.rows = self.quarantined = 0
         self.last_pass = self.last_error = None
+        self.error = ""
         self.last_seconds = 0.0
         self.table_rows: dict[str, int] = {}
         self.table_quarantined: dict[str, int] = {}
@@ -34,15 +35,22 @@ class Metrics:
                 self.table_rows[t.table] = self.table_rows.get(t.table, 0) + t.rows
                 self.table_quarantined[t.table] = self.table_quarantined.get(t.table, 0) + t.quarantined
 
-    def failed(self) -> None:
+    def failed(self, error: object = "") -> None:
         with self._lock:
             self.errors += 1
-            self.last_error = self.clock()
+            self.last_error, self.error = self.clock(), str(error)
 
-    def healthy(self) -> bool:
-        """A pass has completed, and no error is newer."""
+    def health(self) -> tuple[bool, str]:
+        """Whether a pass has completed and no error is newer; and if not, why."""
         with self._lock:
-            return self.last_pass is not None and (self.last_error is None or self.last_error <= self.last_pass)
+            if self.last_pass is None and self.last_error is None:
+                return False, "no pass has completed yet"
+            if self.last_error is not None and (self.last_pass is None or self.last_error > self.last_pass):
+                return False, f"last pass failed: {self.error}"
+            return True, "ok"
+
+    def healthy(self) -> bool:
+        return self.health()[0]
 
     def text(self) -> str:
         up = int(self.healthy())
@@ -68,8 +76,8 @@ def serve(metrics: Metrics, host: str = "127.0.0.1", port: int = 0) -> Threading
 
     class Handler(BaseHTTPRequestHandler):
         def do_GET(self):
-            ready = metrics.healthy()
-            code, body = {"/metrics": (200, metrics.text()), "/healthz": (200, "ok\n"), "/readyz": (200, "ready\n") if ready else (503, "not ready\n")}.get(self.path, (404, "not found\n"))
+            ready, why = metrics.health()
+            code, body = {"/metrics": (200, metrics.text()), "/healthz": (200, "ok\n"), "/readyz": (200, "ready\n") if ready else (503, f"not ready: {why}\n")}.get(self.path, (404, "not found\n"))
             self.send_response(code)
             self.send_header("Content-Type", "text/plain; version=0.0.4")
             self.end_headers()
