@@ -2,28 +2,36 @@
 
 from __future__ import annotations
 
+import sqlite3
 import uuid
 from collections.abc import Callable
-from datetime import datetime, timedelta
+from contextlib import closing
+from datetime import UTC, datetime, timedelta
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import reports
-from .functions.convert import convert
-from .functions.cursor import INTEGER, TIMESTAMP, Cursor, advance, back, cursor_value, max_cursor, open_rows
+from .functions.convert import convert, refusal
+from .functions.cursor import INTEGER, TIMESTAMP, Cursor, advance, back, cursor_value, lag_seconds, max_cursor, open_rows
 from .functions.predicates import Filter, compile_filters
 from .functions.templates import Extra
 from .operators import changes
 from .operators.quarantine import split
 from .operators.store import TargetStore
 from .operators.upsert import last_writer, upsert
-from .plans.catalog import Catalog, Parent, State, Table
 from .pipeline import Runner
-from .plans.resolve import Plan, TablePlan
+from .plans import catalog as catalogs
+from .plans import config as configs
+from .plans.catalog import Catalog, Parent, State, Table
+from .plans.resolve import Plan, TablePlan, resolve
 from .plans.schema import INSTANCE, LiveTable, desired, diff, drift
 from .sources.frames import FrameSource
+from .sources.sqlite import SqliteSource
+from .streaming.loop import Loop
+from .streaming.metrics import Metrics
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -371,6 +379,188 @@ def advance_exclusive(spark, sf_dir):
     return events.where(advance(_TS, back(_TS, max_cursor(events, _TS), timedelta(hours=2)))).select("event_id")
 
 
+# operators on the cases that the queries above leave out
+
+
+@query("SELECT CAST(epoch_ms(TIMESTAMP '2030-01-01') - max((epoch_us(ts) + 500) // 1000) AS BIGINT) AS lag_millis FROM events")
+def lag_of_mark(spark, sf_dir):
+    """The lag of the mark that a pass would store."""
+    lag = lag_seconds(_TS, max_cursor(_t(spark, sf_dir, "events"), _TS), datetime(2030, 1, 1, tzinfo=UTC))
+    return spark.createDataFrame([(round(lag * 1000),)], "lag_millis long")
+
+
+@query("SELECT event_id, strftime(make_timestamp((epoch_us(ts) + 500) // 1000 * 1000), '%Y-%m-%d %H:%M:%S.%g') AS mark FROM events")
+def watermark_rounding(spark, sf_dir):
+    return _t(spark, sf_dir, "events").select("event_id", cursor_value(_TS).alias("mark"))
+
+
+@query("SELECT event_id FROM events WHERE (epoch_us(ts) + 500) // 1000 > (SELECT max((epoch_us(ts) + 500) // 1000) - 7200000 FROM events)")
+def advance_native(spark, sf_dir):
+    """A native timestamp against a mark, which files can be pruned by."""
+    events = _t(spark, sf_dir, "events")
+    return changes.changed(events, Table("events", "append_only", ("event_id",), _TS), back(_TS, max_cursor(events, _TS), timedelta(hours=2)), timedelta(0)).select("event_id")
+
+
+@query("SELECT event_id, event_type FROM events WHERE (epoch_us(ts) + 500) // 1000 >= (SELECT max((epoch_us(ts) + 500) // 1000) - 86400000 FROM events)")
+def mutable_native(spark, sf_dir):
+    events = _t(spark, sf_dir, "events")
+    return changes.changed(events, _MUTABLE, max_cursor(events, _TS), timedelta(days=1)).select("event_id", "event_type")
+
+
+@query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01') OR l_linenumber > 3 GROUP BY ALL")
+def follow_parent_late_child(spark, sf_dir):
+    """Children of parents that have moved, and those that the target doesn't hold though their parents stand still."""
+    child = Table("lineitem", "follow_parent", ("l_orderkey", "l_linenumber"), parent=Parent("orders", "l_orderkey", "o_orderkey"))
+    parent = Table("orders", "mutable", ("o_orderkey",), Cursor("o_orderdate", TIMESTAMP))
+    lines = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber").distinct()
+    held = lines.where("l_linenumber <= 3")
+    return changes.changed(lines, child, "1998-01-01 00:00:00.000", timedelta(0), parent=_t(spark, sf_dir, "orders"), parent_table=parent, known=held)
+
+
+@query("SELECT n_nationkey, n_name FROM nation")
+def snapshot_reread(spark, sf_dir):
+    """A snapshot is read whole, whatever the mark, and replaces what the target holds."""
+    nation = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    read = changes.changed(nation, Table("nation", "snapshot", ("n_nationkey",)), "any mark", timedelta(0))
+    return upsert(nation.withColumn("n_name", F.lower("n_name")), read, ["n_nationkey"])
+
+
+_TYPED = {
+    "text_eq_number": (Filter("k", "eq", 10), "k = '10'"), "text_ne_number": (Filter("k", "ne", 10), "k <> '10' OR k IS NULL"),
+    "text_lt_number": (Filter("k", "lt", 10), "k < '10'"), "text_lte_number": (Filter("k", "lte", 10), "k <= '10'"),
+    "text_gt_number": (Filter("k", "gt", 10), "k > '10'"), "text_gte_number": (Filter("k", "gte", 10), "k >= '10'"),
+    "text_in_numbers": (Filter("k", "in", [10, 20]), "k IN ('10', '20')"), "text_not_in_numbers": (Filter("k", "not_in", [10, 20]), "k NOT IN ('10', '20') OR k IS NULL"),
+    "number_eq_text": (Filter("c_custkey", "eq", "10"), "c_custkey = 10"), "number_lt_word": (Filter("c_custkey", "lt", "abc"), "true"),
+    "number_gt_word": (Filter("c_custkey", "gt", "abc"), "false"), "number_not_in_mixed": (Filter("c_custkey", "not_in", ["10", "abc", 12]), "c_custkey NOT IN (10, 12)"),
+}
+
+
+def _typed(spark, sf_dir, own):
+    customers = _t(spark, sf_dir, "customer").select("c_custkey", F.expr("CASE WHEN c_custkey % 9 <> 0 THEN CAST(c_custkey AS STRING) END").alias("k"))
+    return customers.where(compile_filters([own], customers.schema))
+
+
+for _name, (_filter, _sql) in _TYPED.items():
+    query(f"SELECT c_custkey, k FROM (SELECT c_custkey, CASE WHEN c_custkey % 9 <> 0 THEN CAST(c_custkey AS VARCHAR) END AS k FROM customer) WHERE {_sql}", f"filter_{_name}")(
+        lambda spark, sf_dir, f=_filter: _typed(spark, sf_dir, f)
+    )
+
+
+@query("SELECT event_id, json_extract_string(props, '$.k') AS k FROM events WHERE json_valid(props)")
+def json_of_target(spark, sf_dir):
+    """A path into JSON as the target holds it."""
+    return _split(spark, sf_dir)[0].where("props is not null").select("event_id", F.get_json_object("props", "$.k").alias("k")).unionByName(
+        _t(spark, sf_dir, "events").where(f"{_POISONED} <> props").select("event_id", F.get_json_object(convert(F.col("props"), T.StringType(), "jsonb"), "$.k").alias("k")))
+
+
+_LAYOUTS = ["yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'", "yyyy-MM-dd HH:mm:ss.SSSSSS'+00:00'", "yyyy-MM-dd HH:mm:ss.SSSSSS' +0000 UTC'", "yyyy-MM-dd HH:mm:ss.SSSSSS' +0000 UTC m=+0.5'", "yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'", "yyyy-MM-dd"]
+
+
+@query("SELECT event_id, CASE WHEN event_id % 7 = 6 THEN epoch_us(date_trunc('day', ts)) ELSE epoch_us(ts) END AS at_micros FROM events")
+def timestamp_layouts(spark, sf_dir):
+    """Each of the layouts that sources write."""
+    at = F.col("ts").cast("timestamp")
+    text = F.coalesce(*(F.when(F.col("event_id") % 7 == i, F.date_format(at, layout)) for i, layout in enumerate(_LAYOUTS)))
+    return _t(spark, sf_dir, "events").select("event_id", F.unix_micros(convert(text, T.StringType(), "timestamptz")).alias("at_micros"))
+
+
+@query("SELECT p_partkey, p_name AS as_text, CAST(p_partkey AS BIGINT) AS as_bigint, CAST(p_partkey AS DOUBLE) AS as_double, CASE WHEN p_partkey % 2 = 0 THEN 'invalid input for type bigint: w' END AS refused FROM part")
+def convert_scalars(spark, sf_dir):
+    """Bytes as text, and text as whole and broken numbers; text that is no number is refused."""
+    part = _t(spark, sf_dir, "part").select("p_partkey", F.encode("p_name", "UTF-8").alias("b"), F.col("p_partkey").cast("string").alias("n"))
+    part = part.withColumn("w", F.when(F.col("p_partkey") % 2 == 0, F.lit("word")).otherwise(F.col("n")))
+    return part.select(
+        "p_partkey", convert(F.col("b"), T.BinaryType(), "text").alias("as_text"), convert(F.col("n"), T.StringType(), "bigint").alias("as_bigint"),
+        convert(F.col("n"), T.StringType(), "double precision").alias("as_double"), refusal(F.col("w"), T.StringType(), "bigint", "w").alias("refused"),
+    )
+
+
+@query("SELECT event_id, 'prod-' || CAST(event_id AS VARCHAR) AS label, epoch_us(TIMESTAMP '2026-01-02 03:04:05') AS at_micros FROM events")
+def enrich_env_and_now(spark, sf_dir):
+    df, now, env = _t(spark, sf_dir, "events"), datetime(2026, 1, 2, 3, 4, 5, tzinfo=UTC), {"SITE": "prod"}
+    label, at = (Extra(x).column(df.schema, "events", "laptop", now, env) for x in ("${env:SITE}-${row.event_id}", "${now}"))
+    return df.select("event_id", label.alias("label"), F.unix_micros(at).alias("at_micros"))
+
+
+_CONFIG = """
+source: {path: /s.db, instance: here}
+target: {path: /t}
+defaults:
+  since: 2026-01-01
+  exclude_columns: [output]
+  extra_fields: {site: "${source.instance}"}
+tables:
+  agents: {enabled: false}
+  tasks: {filters: [{column: state, op: ne, value: x}]}
+"""
+
+
+@query("SELECT * FROM (VALUES ('tasks', 2, 'output', 'site'), ('task_logs', 1, 'output', 'site'), ('pr_event_watermarks', 0, 'output', 'site')) AS t(table_name, n_filters, excluded, extras)")
+def config_resolution(spark, sf_dir):
+    """Defaults, windows and a table's own settings, of three tables of the default catalog."""
+    plan = resolve(configs.parse(_CONFIG), catalogs.load()).restrict(["tasks", "task_logs", "pr_event_watermarks"])
+    return spark.createDataFrame([(t.name, len(t.filters), ",".join(sorted(t.exclude)), ",".join(t.extras)) for t in plan.tables], "table_name string, n_filters int, excluded string, extras string")
+
+
+@query("SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(s_suppkey) AS BIGINT) AS keys, min(s_name) AS first_name, CAST(round(sum(s_acctbal) * 100) AS BIGINT) AS cents FROM supplier")
+def sqlite_scan(spark, sf_dir):
+    """Suppliers written to a SQLite file and read through the source, in ranges of rowids."""
+    path = _sqlite(spark, sf_dir)
+    found = SqliteSource(spark, path, 4).read("supplier", ["s_suppkey", "s_name", "s_acctbal"])
+    return found.agg(F.count("*").alias("n"), F.sum("s_suppkey").alias("keys"), F.min("s_name").alias("first_name"), F.round(F.sum("s_acctbal") * 100).cast("bigint").alias("cents"))
+
+
+@query("SELECT 'supplier' AS table_name, 's_suppkey' AS key, count(*) AS n FROM supplier")
+def sqlite_reflect_and_count(spark, sf_dir):
+    source = SqliteSource(spark, _sqlite(spark, sf_dir), 4)
+    return spark.createDataFrame([(t.name, ",".join(t.key), source.count(t.name)) for t in source.reflect().values()], "table_name string, key string, n long")
+
+
+def _sqlite(spark, sf_dir) -> str:
+    """A SQLite file of the suppliers (10,000 x sf, so the driver can write them) where executors can open it."""
+    folder = (spark.conf.get("spark.checkpoint.dir", None) or "/tmp/tidemark-checkpoints").removeprefix("file://").rstrip("/")
+    Path(folder).mkdir(parents=True, exist_ok=True)
+    path = f"{folder}/supplier-{uuid.uuid4().hex}.db"
+    rows = _t(spark, sf_dir, "supplier").select("s_suppkey", "s_name", F.col("s_acctbal").cast("double")).toLocalIterator()
+    with closing(sqlite3.connect(path)) as db:
+        db.execute("CREATE TABLE supplier (s_suppkey INTEGER PRIMARY KEY, s_name TEXT, s_acctbal REAL)")
+        db.executemany("INSERT INTO supplier VALUES (?, ?, ?)", map(tuple, rows))
+        db.commit()
+    return path
+
+
+@query("SELECT CAST(count(*) AS BIGINT) AS rows_total, 2 AS passes, CAST(max(o_orderkey) AS VARCHAR) AS mark FROM orders")
+def loop_passes(spark, sf_dir):
+    """Two passes of the loop over orders that don't change: the metrics, and the mark that is left."""
+    orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    table = Table("orders", "append_only", ("o_orderkey",), Cursor("o_orderkey", INTEGER))
+    store = _temporary_store(spark)
+    runner = Runner(spark, FrameSource({"orders": orders}, {"orders": ["o_orderkey"]}), store, Plan([TablePlan(table)]), Catalog({"orders": table}), "a", env={})
+    runner.migrate()
+    metrics = Metrics("a")
+
+    def passed(done):
+        metrics.passed(done)
+        if metrics.passes == 2:
+            loop.end()
+
+    loop = Loop(runner.sync, interval=0.0, on_pass=passed)
+    loop.go()
+    return spark.createDataFrame([(store.marks("a")["orders"].rows_total, metrics.passes, store.marks("a")["orders"].value)], "rows_total long, passes int, mark string")
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F' ORDER BY o_orderkey LIMIT 100")
+def open_keys_limit(spark, sf_dir):
+    """The least of the keys that a target holds unsettled."""
+    orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    store = _temporary_store(spark)
+    runner = Runner(spark, FrameSource({"orders": orders}, {"orders": ["o_orderkey"]}), store, Plan([TablePlan(_OPEN)]), Catalog({"orders": _OPEN}), "a", env={})
+    runner.migrate()
+    if error := runner.backfill().error:
+        raise error
+    return store.open_keys("orders", "a", "o_orderkey", "o_orderstatus", ("F",), 100)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders backfilled and followed into a target, then the cost report over it."""
     held = backfill_then_sync(spark, sf_dir).join(_t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"), "o_orderkey")
