@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, decontaminate, jaccard_join, language, line_dedup
-from tidemark.llm._repeats import stored
+from tidemark.llm._tables import stored
 
 #: A document stays if its language is known with this score: about the level of chance among four languages goes.
 MIN_SCORE = 0.35
@@ -55,5 +55,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}", after=(docs,))  # a stage's input is needed no more
     return docs
