@@ -1,7 +1,7 @@
 """Windows that occur more than once, found by content-defined anchors: shared by both substring operators.
 
 A window is ``win`` consecutive symbols (bytes or words) of one text. The k-gram with the least hash in
-a window is its anchor; it depends on the window's content alone, so like windows have like
+a window, very common grams last, is its anchor; it depends on the window's content alone, so like windows have like
 anchors, and a text has about 2 / (win - k + 2) anchors per symbol. Neighbouring windows with the same
 anchor form a context. Only contexts whose anchor occurs more than once go on: copies of a
 context (by the anchor's hash and a hash of the context's bytes) are folded into one, its text is fetched through the id, and
@@ -24,7 +24,7 @@ from ._arrow import INVERSE, bounded, chunks, lean, mix, powers, prefix_sums
 from ._sketch import heavy, places
 from ._tables import stored
 
-#: An anchor with fewer contexts is never hot; a hot one is dealt to so many places.
+#: A gram that occurs fewer times is never hot; a hot anchor's contexts are dealt to so many places.
 HOT_LEAST, SALTS = 1000, 256
 _SALT = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -68,8 +68,8 @@ def byte_grams(data: np.ndarray, k: int) -> np.ndarray:
     return mix((sums[k:] - sums[:-k]) * powers(INVERSE, len(sums))[: len(data) - k + 1]) if len(data) >= k else np.zeros(0, np.uint64)
 
 
-def contexts(gram: np.ndarray, offsets: np.ndarray, k: int, win: int) -> tuple[np.ndarray, ...]:
-    """(key, start, n): contexts of the texts, given the hashes of the k-grams from each symbol on.
+def contexts(gram: np.ndarray, offsets: np.ndarray, k: int, win: int, hot: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(key, start, n): contexts of the texts, given the hashes of the k-grams from each symbol on, and which of them are hot.
 
     key is the anchor's hash, start the first window's first symbol, n the number of windows; a context spans
     n + win - 1 symbols.
@@ -78,7 +78,8 @@ def contexts(gram: np.ndarray, offsets: np.ndarray, k: int, win: int) -> tuple[n
     none = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     if n < win:
         return none
-    low = (gram >> np.uint64(32) << np.uint64(32)) | np.arange(n - k + 1, dtype=np.uint64)
+    # hot grams come last, so that a window is anchored by one only where it has no others
+    low = ((gram >> np.uint64(33) | hot.astype(np.uint64) << np.uint64(31)) << np.uint64(32)) | np.arange(n - k + 1, dtype=np.uint64)
     width, have = win - k + 1, 1
     while 2 * have <= width:  # least of the next 1, 2, 4 ... grams
         low = np.minimum(low[:-have], low[have:])
@@ -100,16 +101,17 @@ def contexts(gram: np.ndarray, offsets: np.ndarray, k: int, win: int) -> tuple[n
     return gram[owner[new]], start, count
 
 
-def hot_anchors(rows: DataFrame, find, limit: int) -> np.ndarray:
-    """Which counters belong to anchors that may hold a share of 1 / 4096 of all contexts or more.
+def hot_grams(rows: DataFrame, grams, limit: int) -> np.ndarray:
+    """Which counters belong to k-grams that may be 1 / 65536 of all or more; grams gives the hashes of a chunk's."""
+    return heavy(rows.select("text"), grams, _SALT, limit, 16, HOT_LEAST)
 
-    find gives the contexts of a chunk, as ``contexts`` does, first. There are at most a few thousand such anchors.
-    """
-    return heavy(rows.select("text"), lambda part: find(part)[0], _SALT, limit, 12, HOT_LEAST)
+
+def is_hot(hot: np.ndarray, gram: np.ndarray) -> np.ndarray:
+    return hot[places(gram, _SALT)]
 
 
 def salted(found: DataFrame) -> DataFrame:
-    """found with ``salt``: hot anchors are spread by their texts; they count as repeated anyway, so no task needs all of one."""
+    """found with ``salt``: contexts of hot grams alone are spread by their texts; they count as repeated anyway, so no task needs all of one."""
     return found.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("rid"), F.lit(SALTS))).otherwise(0).cast("int"))
 
 
@@ -119,7 +121,7 @@ def rows_of(part: pa.RecordBatch, found: tuple[np.ndarray, ...], offsets: np.nda
     doc = np.searchsorted(offsets, start, side="right") - 1
     rid, doc_id = part.column("rid").to_numpy(zero_copy_only=False), part.column("doc_id")
     return pa.RecordBatch.from_arrays(
-        [pa.array(key.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(rid[doc].astype(np.int64)), doc_id.take(pa.array(doc)), pa.array((start - offsets[doc]).astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(hot[places(key, _SALT)])],
+        [pa.array(key.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(rid[doc].astype(np.int64)), doc_id.take(pa.array(doc)), pa.array((start - offsets[doc]).astype(np.int32)), pa.array(count.astype(np.int32)), pa.array(is_hot(hot, key))],
         names=["key", "digest", "rid", "doc_id", "start", "n", "hot"],
     )
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._arrow import chunks, covered, flat, lean, runs, sha256, span_digests
-from ._repeats import byte_grams, contexts, hot_anchors, identified, keyed_groups, packed, rows_of, salted, unpack
+from ._repeats import byte_grams, contexts, hot_grams, identified, is_hot, keyed_groups, packed, rows_of, salted, unpack
 from ._tables import stored
 
 #: Bytes of the anchoring grams, and of a shard; an anchor's contexts stay in one shard.
@@ -227,15 +227,13 @@ def dedup(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col:
     rows = identified(docs, id_col, text_col)
     gram = min(GRAM, length)
 
-    def anchored(part):
-        data, offsets = flat(part.column("text"))
-        return *contexts(byte_grams(data, gram), offsets, gram, length), data, offsets
-
-    hot = spark.sparkContext.broadcast(hot_anchors(rows, anchored, 1 << 19))
+    hot = spark.sparkContext.broadcast(hot_grams(rows, lambda part: byte_grams(flat(part.column("text"))[0], gram), 1 << 19))
 
     def find(batches):
         for part in chunks(batches, limit=1 << 19):
-            key, start, n, data, offsets = anchored(part)
+            data, offsets = flat(part.column("text"))
+            hashed = byte_grams(data, gram)
+            key, start, n = contexts(hashed, offsets, gram, length, is_hot(hot.value, hashed))
             yield rows_of(part, (key, span_digests(data, start, start + n + length - 1), start, n), offsets, hot.value).drop_columns(["doc_id"])
 
     found = salted(rows.mapInArrow(lean(find), "key bigint, digest bigint, rid bigint, start int, n int, hot boolean"))

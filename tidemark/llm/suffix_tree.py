@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._arrow import NOT_SPACE, chunks, covered, flat, gram_hashes, lean, runs, sha256, span_digests, word_hashes, words
-from ._repeats import CONTEXT, contexts, hot_anchors, identified, keyed_groups, packed, rows_of, salted, unpack
+from ._repeats import CONTEXT, contexts, hot_grams, identified, is_hot, keyed_groups, packed, rows_of, salted, unpack
 from ._tables import stored
 
 #: Words of the anchoring grams; bytes of contexts that a task holds; suffixes of a group.
@@ -96,17 +96,17 @@ def dedup(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: s
     rows = identified(docs, id_col, text_col)
     gram = min(GRAM, window)
 
-    def anchored(part):
+    def split(part):
         data, offsets = flat(part.column("text"))
         starts, ends, first = words(data, offsets, NOT_SPACE)
-        grams = gram_hashes(word_hashes(data, starts, ends), gram)
-        return *contexts(grams, first, gram, window), data, starts, ends, first
+        return data, starts, ends, first, gram_hashes(word_hashes(data, starts, ends), gram)
 
-    hot = spark.sparkContext.broadcast(hot_anchors(rows, anchored, 1 << 20))
+    hot = spark.sparkContext.broadcast(hot_grams(rows, lambda part: split(part)[-1], 1 << 20))
 
     def find(batches):
         for part in chunks(batches, limit=1 << 20):
-            key, start, n, data, starts, ends, first = anchored(part)
+            data, starts, ends, first, hashed = split(part)
+            key, start, n = contexts(hashed, first, gram, window, is_hot(hot.value, hashed))
             digest = span_digests(data, starts[start], ends[start + n + window - 2])
             yield rows_of(part, (key, digest, start, n), first, hot.value)
 
