@@ -109,25 +109,9 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     return _sorted(full, int(full.max()) + 1)
 
 
-def _settled(text: np.ndarray) -> np.ndarray:
-    """The end of the recursion: most letters are unique, and the ties that are left double their prefixes until they differ."""
-    n, rank, reach = len(text), text.astype(np.int64), 1
-    while True:
-        key = rank * n
-        key[:-reach] += rank[reach:]
-        order = key.argsort(kind="stable")
-        ranked = key[order]
-        rank[order] = np.concatenate(([0], np.cumsum(ranked[1:] != ranked[:-1])))
-        if rank[order[-1]] == n - 1:
-            return order[1:]  # without the sentinel
-        reach *= 2
-
-
 def _sorted(text: np.ndarray, letters: int) -> np.ndarray:
     """As suffix_array, of a text that ends in its only 0, which the result leaves out."""
     n = len(text)
-    if 4 * letters > n > 1024:
-        return _settled(text)
     change = np.flatnonzero(text[:-1] != text[1:])
     following = change[np.searchsorted(change, np.arange(n - 1))]
     s_type = np.ones(n, bool)
