@@ -17,6 +17,7 @@ give a row each.
 from __future__ import annotations
 
 import json
+import os
 from array import array
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -46,6 +47,7 @@ def _byte_of() -> dict[str, int]:
 
 def _model(path: str):
     if path not in _MODELS:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         model = Tokenizer.from_file(path)
@@ -182,14 +184,14 @@ def shared_words(rows: DataFrame, path: str) -> DataFrame:
             last = listed[-1], ids[-1]
             yield pa.RecordBatch.from_arrays([batch.column("chunk"), batch.column("place"), pa.array(ids, pa.binary()).take(words.indices)], names=["chunk", "place", "data"])
 
-    told = rows.select("text").mapInArrow(lean(tell), "chunk binary, place int, word string").repartition("word")
+    # the same columns as for _texts(), so that batches, and with them chunks, are the same
+    told = rows.mapInArrow(lean(tell), "chunk binary, place int, word string").repartition("word")
     shared = told.withColumn("n", F.count("*").over(Window.partitionBy("word"))).where("n > 1").select("chunk", "place", "word")
     return stored(shared.mapInArrow(lean(encode), "chunk binary, place int, data binary"), "words")
 
 
-def _encoded(rows: DataFrame, path: str, fields: str, work: Callable[[np.ndarray, np.ndarray], list]) -> DataFrame:
-    """doc_id and what work makes of each chunk's ids and offsets."""
-    words = shared_words(rows, path).select("chunk", F.lit(0).alias("kind"), "place", "data")
+def _texts(rows: DataFrame) -> DataFrame:
+    """(chunk, kind, place, data): the chunks themselves, compressed."""
 
     def pack(batches):
         options = pa.ipc.IpcWriteOptions(compression="zstd")
@@ -199,6 +201,13 @@ def _encoded(rows: DataFrame, path: str, fields: str, work: Callable[[np.ndarray
                 stream.write_batch(part)
             yield pa.RecordBatch.from_arrays([pa.array([_name(part.column("text"))], pa.binary()), pa.array([1], pa.int32()), pa.array([0], pa.int32()), pa.array([out.getvalue().to_pybytes()], pa.binary())], names=["chunk", "kind", "place", "data"])
 
+    return rows.mapInArrow(lean(pack), "chunk binary, kind int, place int, data binary")
+
+
+def _encoded(rows: DataFrame, path: str, fields: str, work: Callable[[np.ndarray, np.ndarray], list]) -> DataFrame:
+    """doc_id and what work makes of each chunk's ids and offsets."""
+    words = shared_words(rows, path).select("chunk", F.lit(0).alias("kind"), "place", "data")
+
     names = ["doc_id", *(x.strip().split(" ")[0] for x in fields.split(","))]
 
     def meet(batches):
@@ -225,7 +234,7 @@ def _encoded(rows: DataFrame, path: str, fields: str, work: Callable[[np.ndarray
                         for part in stream:
                             yield pa.RecordBatch.from_arrays([part.column("doc_id"), *work(*encode_chunk(path, part.column("text"), *ready))], names=names)
 
-    both = words.unionByName(rows.mapInArrow(lean(pack), "chunk binary, kind int, place int, data binary"))
+    both = words.unionByName(_texts(rows))
     # a chunk is of bounded size, so no task gets more than its share
     return both.repartition("chunk").sortWithinPartitions("chunk", "kind", "place").mapInArrow(lean(meet), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {fields}")
 
