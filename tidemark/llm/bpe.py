@@ -8,7 +8,8 @@ in its chunk's distinct words, by which ids are joined to positions. Decoding jo
 A text in which some cut isn't safe (white space beside a space, or an added token's string) is encoded whole.
 
 A chunk is named by a 128-bit hash of its texts, so ids never reach other words, even if a lost task is run again with other chunks;
-words whose ids don't come are encoded where they occur.
+words whose ids don't come are encoded where they occur. So texts should come from a table, whose order is fixed; after a shuffle the two
+passes over them may see other chunks, which costs time but changes no result.
 
 Defined results: null and empty texts have no ids and decode to the empty text; repeated rows and ids
 give a row each.
