@@ -1,10 +1,10 @@
 """Byte-pair encoding and decoding by a table of distinct words.
 
 Texts are cut before every single space that stands between two characters that aren't white space, where the
-pre-tokenizer starts a word whatever stands around. Chunks of texts tell their distinct words, each with its place among them; words meet
-by themselves, those that more than one chunk has are encoded once, and their ids go back to the chunks by place, where they meet the
-chunks' texts. A word that one chunk alone has is encoded there, once as well. Arrow's dictionary encoding gives every occurrence's place
-in its chunk's distinct words, by which ids are joined to positions. Decoding joins ids with the table of their byte pieces.
+pre-tokenizer starts a word whatever stands around. Chunks of texts tell their distinct words, each with its place among them, in one parcel for each bucket
+of words (by hash). A bucket's words meet in one task, which encodes each distinct one once and sends the ids back, a parcel for each
+chunk, where they meet the chunk's texts. Arrow's dictionary encoding gives every occurrence's place in its chunk's distinct words, by which
+ids are joined to positions. Decoding joins ids with the table of their byte pieces.
 A text in which some cut isn't safe (white space beside a space, or an added token's string) is encoded whole.
 
 A chunk is named by a 128-bit hash of its texts, so ids never reach other words, even if a lost task is run again with other chunks;
@@ -27,14 +27,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+import zstandard
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._arrow import bounded, chunks, flat, lean, sha256, texts
-from ._tables import stored
+from ._arrow import bounded, flat, lean, sha256, texts, word_hashes
 
-#: Bytes of a chunk.
-CHUNK = 4 << 20
+#: Bytes of a chunk; words that a bucket's task remembers: a bucket with more encodes some again.
+CHUNK, REMEMBERED = 8 << 20, 1 << 18
 _MODELS: dict[str, tuple] = {}
 #: White space of the pre-tokenizer's pattern, at either end of a word.
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -158,86 +158,119 @@ def _name(column: pa.Array) -> bytes:
     return told.digest()
 
 
-def _named(name: bytes, n: int) -> pa.Array:
-    return pa.array([name], pa.binary()).take(pa.array(np.zeros(n, np.int64)))
+def _chunks(batches):
+    """The rows in pieces of about CHUNK bytes of text, whatever batches they come in; a longer text is one of its own."""
+    held: list[pa.RecordBatch] = []
+    room = CHUNK
+    for batch in batches:
+        sizes, at = np.diff(flat(batch.column("text"))[1]), 0
+        while at < len(batch):
+            ends = np.cumsum(sizes[at:])
+            take = int(np.searchsorted(ends, room, side="right"))
+            if not take and held:
+                yield pa.concat_batches(held)
+                held, room = [], CHUNK
+                continue
+            take = max(take, 1)
+            held.append(batch.slice(at, take))
+            room -= int(ends[take - 1])
+            at += take
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _parcel(places: np.ndarray, values: pa.Array) -> bytes:
+    """Places and the bytes that belong to them, compressed."""
+    data, ends = flat(values)
+    size = np.diff(ends).astype("<u4")
+    body = np.uint32(len(places)).tobytes() + np.diff(places, prepend=0).astype("<i4").tobytes() + size.tobytes() + data.tobytes()
+    return zstandard.compress(body, 1)
+
 
+def _opened(parcel: bytes) -> tuple[np.ndarray, np.ndarray, bytes]:
+    """(places, edges, data) of a parcel."""
+    raw = zstandard.decompress(parcel)
+    n = int(np.frombuffer(raw, "<u4", 1)[0])
+    places, size = np.cumsum(np.frombuffer(raw, "<i4", n, 4)), np.frombuffer(raw, "<u4", n, 4 + 4 * n)
+    return places, np.concatenate(([0], np.cumsum(size, dtype=np.int64))), raw[4 + 8 * n :]
 
-def shared_words(rows: DataFrame, path: str) -> DataFrame:
-    """(chunk, place, data): the ids of the words that more than one chunk of texts has, for each chunk and place."""
+
+def word_ids(rows: DataFrame, path: str) -> DataFrame:
+    """(chunk, data): parcels of the ids of each chunk's words, by place."""
+    buckets = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def tell(batches):
-        for part in chunks(batches, limit=CHUNK):
-            words = cut(path, part.column("text")).words
-            name = _name(part.column("text"))
-            for at in range(0, len(words), 20_000):
-                some = words.slice(at, 20_000)
-                yield pa.RecordBatch.from_arrays([_named(name, len(some)), pa.array(np.arange(at, at + len(some), dtype=np.int32)), some], names=["chunk", "place", "word"])
+        for part in _chunks(batches):
+            words, name = cut(path, part.column("text")).words, _name(part.column("text"))
+            data, ends = flat(words)
+            bucket = (word_hashes(data, ends[:-1], ends[1:]) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            full = np.flatnonzero(np.diff(edges))
+            parcels = [_parcel(order[a:b], words.take(pa.array(order[a:b]))) for a, b in zip(edges[full].tolist(), edges[full + 1].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(full.astype(np.int32)), pa.array([name] * len(full), pa.binary()), pa.array(parcels, pa.binary())], names=["bucket", "chunk", "data"])
 
     def encode(batches):
-        model, last = _model(path)[0], (None, None)
+        model, known = _model(path)[0], {}
         for batch in batches:
-            if not len(batch):
-                continue
-            words = batch.column("word").dictionary_encode()
-            listed = words.dictionary.to_pylist()
-            known = [last[1]] if listed[0] == last[0] else []  # words come in order, so one may go on from the batch before
-            ids = known + _ids(model, listed[len(known) :])
-            last = listed[-1], ids[-1]
-            yield pa.RecordBatch.from_arrays([batch.column("chunk"), batch.column("place"), pa.array(ids, pa.binary()).take(words.indices)], names=["chunk", "place", "data"])
-
-    # the same columns as for _texts(), so that batches, and with them chunks, are the same
-    told = rows.mapInArrow(lean(tell), "chunk binary, place int, word string").repartition("word")
-    shared = told.withColumn("n", F.count("*").over(Window.partitionBy("word"))).where("n > 1").select("chunk", "place", "word")
-    return stored(shared.mapInArrow(lean(encode), "chunk binary, place int, data binary"), "words")
+            out = []
+            for parcel in batch.column("data").to_pylist():
+                places, edges, data = _opened(parcel)
+                words = [data[a:b] for a, b in zip(edges.tolist(), edges[1:].tolist(), strict=False)]
+                missing = [w for w in words if w not in known]
+                if len(known) + len(missing) > REMEMBERED:
+                    known, missing = {}, words
+                known.update(zip(missing, _ids(model, [w.decode() for w in missing]), strict=True))
+                out.append(_parcel(places, pa.array([known[w] for w in words], pa.binary())))
+            yield pa.RecordBatch.from_arrays([batch.column("chunk"), pa.array(out, pa.binary())], names=["chunk", "data"])
+
+    # a bucket gets a parcel from each chunk, however common its words are
+    told = rows.mapInArrow(lean(tell), "bucket int, chunk binary, data binary").repartition(buckets, "bucket")
+    return told.mapInArrow(lean(encode), "chunk binary, data binary")
 
 
 def _texts(rows: DataFrame) -> DataFrame:
-    """(chunk, kind, place, data): the chunks themselves, compressed."""
+    """(chunk, kind, data): the chunks themselves, compressed."""
 
     def pack(batches):
         options = pa.ipc.IpcWriteOptions(compression="zstd")
-        for part in chunks(batches, limit=CHUNK):
+        for part in _chunks(batches):
             out = pa.BufferOutputStream()
             with pa.ipc.new_stream(out, part.schema, options=options) as stream:
                 stream.write_batch(part)
-            yield pa.RecordBatch.from_arrays([pa.array([_name(part.column("text"))], pa.binary()), pa.array([1], pa.int32()), pa.array([0], pa.int32()), pa.array([out.getvalue().to_pybytes()], pa.binary())], names=["chunk", "kind", "place", "data"])
+            yield pa.RecordBatch.from_arrays([pa.array([_name(part.column("text"))], pa.binary()), pa.array([1], pa.int32()), pa.array([out.getvalue().to_pybytes()], pa.binary())], names=["chunk", "kind", "data"])
 
-    return rows.mapInArrow(lean(pack), "chunk binary, kind int, place int, data binary")
+    return rows.mapInArrow(lean(pack), "chunk binary, kind int, data binary")
 
 
 def _encoded(rows: DataFrame, path: str, fields: str, work: Callable[[np.ndarray, np.ndarray], list]) -> DataFrame:
     """doc_id and what work makes of each chunk's ids and offsets."""
-    words = shared_words(rows, path).select("chunk", F.lit(0).alias("kind"), "place", "data")
+    words = word_ids(rows, path).select("chunk", F.lit(0).alias("kind"), "data")
 
     names = ["doc_id", *(x.strip().split(" ")[0] for x in fields.split(","))]
 
     def meet(batches):
         key, held, ready = None, [], None
         for batch in batches:
-            chunk, kind = batch.column("chunk"), batch.column("kind").to_numpy()
-            listed = chunk.dictionary_encode()
-            number = listed.indices.to_numpy()
-            edges = np.flatnonzero(np.concatenate(([True], (number[1:] != number[:-1]) | (kind[1:] != kind[:-1]), [True]))) if len(batch) else []
-            for a, b in zip(edges, edges[1:], strict=False):
-                own = chunk[int(a)].as_py()
+            for own, kind, data in zip(batch.column("chunk").to_pylist(), batch.column("kind").to_pylist(), batch.column("data"), strict=True):
                 if own != key:
                     key, held, ready = own, [], None
-                if kind[a] == 0:
-                    held.append(batch.slice(a, b - a))
+                if kind == 0:
+                    held.append(_opened(data.as_py()))
                     continue
                 if ready is None:
                     # equal chunks tell their words twice
-                    place = np.concatenate([x.column("place").to_numpy() for x in held]) if held else np.zeros(0, np.int32)
+                    place = np.concatenate([x[0] for x in held]) if held else np.zeros(0, np.int64)
+                    ids = pa.array([x[2][a:b] for x in held for a, b in zip(x[1].tolist(), x[1][1:].tolist(), strict=False)], pa.binary())
                     place, first = np.unique(place, return_index=True)
-                    ready = place, pa.concat_arrays([x.column("data") for x in held]).take(pa.array(first)) if held else pa.array([], pa.binary())
-                for i in range(a, b):
-                    with pa.ipc.open_stream(pa.py_buffer(batch.column("data")[int(i)].as_buffer())) as stream:
-                        for part in stream:
-                            yield pa.RecordBatch.from_arrays([part.column("doc_id"), *work(*encode_chunk(path, part.column("text"), *ready))], names=names)
+                    ready, held = (place, ids.take(pa.array(first))), []
+                with pa.ipc.open_stream(data.as_buffer()) as stream:
+                    for part in stream:
+                        yield pa.RecordBatch.from_arrays([part.column("doc_id"), *work(*encode_chunk(path, part.column("text"), *ready))], names=names)
 
     both = words.unionByName(_texts(rows))
     # a chunk is of bounded size, so no task gets more than its share
-    return both.repartition("chunk").sortWithinPartitions("chunk", "kind", "place").mapInArrow(lean(meet), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {fields}")
+    return both.repartition("chunk").sortWithinPartitions("chunk", "kind").mapInArrow(lean(meet), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {fields}")
 
 
 def decode_chunk(path: str, ids: np.ndarray, offsets: np.ndarray) -> list[bytes]:
