@@ -248,23 +248,32 @@ def test_equal_sizes_only(corpus, texts):
     assert {r.doc_id: r.component_id for r in jaccard_join.link(corpus, 1, 100).collect()} == want
 
 
-def test_shared_words_are_encoded_once(spark):
-    """The table has each word that chunks share once for every chunk and place, and ids as the library gives them."""
-    rows = spark.createDataFrame([(i, f"alpha beta own{i} the the") for i in range(6)], "doc_id long, text string").repartitionByRange(3, "doc_id")
-    found = bpe.shared_words(rows, BPE).collect()
-    assert len(found) == len({(bytes(r.chunk), r.place) for r in found}) == 3 * len({bytes(r.chunk) for r in found})
-    assert {bytes(r.data) for r in found} == set(bpe._ids(bpe._model(BPE)[0], ["alpha", " beta", " the"]))
+def test_words_are_encoded_once(spark, monkeypatch, tmp_path):
+    """Each chunk gets the ids of each of its words, at its place, as the library gives them."""
+    spark.createDataFrame([(i, f"alpha beta own{i} the the") for i in range(6)], "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    rows = _arrow.texts(spark.read.parquet(str(tmp_path / "d")))
+    got = {}
+    for r in bpe.word_ids(rows, BPE).collect():
+        places, edges, data = bpe._opened(bytes(r.data))
+        for p, a, b in zip(places, edges, edges[1:], strict=False):
+            assert got.setdefault((bytes(r.chunk), int(p)), data[a:b]) == data[a:b]
+    model = bpe._model(BPE)[0]
+    words = ["alpha", " beta", " the", *(f" own{i}" for i in range(6))]
+    assert set(got.values()) == set(bpe._ids(model, words))
+    n = len({c for c, _ in got})
+    assert len(got) == 3 * n + 6
 
 
 def test_chunks_of_both_passes_are_the_same(spark, monkeypatch, tmp_path):
     """Also where Arrow batches are bounded by bytes, which other columns count in."""
     monkeypatch.setattr(_arrow, "BATCH_BYTES", 20_000)
+    monkeypatch.setattr(bpe, "CHUNK", 30_000)
     before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
     try:
         spark.createDataFrame([(f"id {i} of a long kind", " ".join(["alpha beta", f"own{i}"] * (i % 40))) for i in range(3000)], "doc_id string, text string").write.parquet(str(tmp_path / "d"))
         rows = _arrow.texts(spark.read.parquet(str(tmp_path / "d")))
-        told, packed = ({bytes(r.chunk) for r in df.select("chunk").distinct().collect()} for df in (bpe.shared_words(rows, BPE), bpe._texts(rows)))
-        assert len(packed) > 10 and told == packed
+        told, packed = ({bytes(r.chunk) for r in df.select("chunk").distinct().collect()} for df in (bpe.word_ids(rows, BPE), bpe._texts(rows)))
+        assert len(packed) >= 1 and told == packed
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", before)
 
