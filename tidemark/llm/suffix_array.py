@@ -2,7 +2,7 @@
 
 Contexts of repeated anchors (see ``_repeats``) are gathered by anchor into shards. Each shard's suffix array is
 built by induced sorting: suffixes are classified as S or L, leftmost S suffixes (LMS) are
-sorted through their substrings' names, recursively, and the shard's array is induced from them in two linear scans. The
+sorted through their substrings' names, recursively (down to a reduced text of bounded size, whose prefixes are doubled until they differ), and the shard's array is induced from them in two linear scans. The
 scans run over whole stretches of settled entries at a time. Permuted common prefixes follow from the
 irreducible ones; suffixes whose neighbours share at least ``length`` bytes are repeats.
 
@@ -24,6 +24,8 @@ from ._tables import stored
 
 #: Bytes of the anchoring grams, and of a shard; an anchor's contexts stay in one shard.
 GRAM, SHARD = 50, 2 << 20
+#: Symbols of the reduced text that ends the recursion: as many buckets as symbols, one by one, take longer than sorting them.
+BASE = 1 << 15
 
 
 def _grouped(values: np.ndarray, slot: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
@@ -97,8 +99,11 @@ def _induce(text: np.ndarray, s_type: np.ndarray, seeds: np.ndarray, letters: in
     return out
 
 
-def suffix_array(text: np.ndarray) -> np.ndarray:
-    """The suffixes' starts in order, of a text of non-negative integers; a shorter suffix comes before a longer like one."""
+def suffix_array(text: np.ndarray, base: int | None = None) -> np.ndarray:
+    """The suffixes' starts in order, of a text of non-negative integers; a shorter suffix comes before a longer like one.
+
+    base: names of at most so many substrings end the recursion (BASE, if none is given).
+    """
     n = len(text)
     if n < 2:
         return np.arange(n, dtype=np.int32)
@@ -106,10 +111,25 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     full[:-1] = text
     full[:-1] += 1
     full[-1] = 0
-    return _sorted(full, int(full.max()) + 1)
+    return _sorted(full, int(full.max()) + 1, BASE if base is None else base)
+
+
+def _few(text: np.ndarray) -> np.ndarray:
+    """As _sorted(), of a short text: prefixes double until they differ."""
+    n, rank, reach = len(text), text.astype(np.int64), 1
+    while True:
+        key = rank * (int(rank.max()) + 1)
+        key[:-reach] += rank[reach:]
+        order = key.argsort(kind="stable")
+        ranked = key[order]
+        rank = np.empty(n, np.int64)
+        rank[order] = np.concatenate(([0], np.cumsum(ranked[1:] != ranked[:-1])))
+        if rank[order[-1]] == n - 1:
+            return order[1:]  # without the sentinel
+        reach *= 2
 
 
-def _sorted(text: np.ndarray, letters: int) -> np.ndarray:
+def _sorted(text: np.ndarray, letters: int, base: int) -> np.ndarray:
     """As suffix_array, of a text that ends in its only 0, which the result leaves out."""
     n = len(text)
     change = np.flatnonzero(text[:-1] != text[1:])
@@ -139,7 +159,8 @@ def _sorted(text: np.ndarray, letters: int) -> np.ndarray:
         if name[-1] < len(inner):
             names = np.zeros(n, np.int32)
             names[ranked] = name
-            order = _sorted(np.append(names[inner], 0).astype(np.int32), int(name[-1]) + 1)
+            reduced = np.append(names[inner], 0).astype(np.int32)
+            order = _few(reduced) if len(reduced) <= base else _sorted(reduced, int(name[-1]) + 1, base)
             ranked = inner[order]
         first = ranked
     return _induce(text, s_type, _with_sentinel(first, n), letters)
