@@ -101,6 +101,17 @@ def test_suffix_array_of_repeats(letters):
     assert suffix_array.suffix_array(text).tolist() == sorted(range(len(raw)), key=lambda i: raw[i:])
 
 
+@pytest.mark.parametrize("letters", [2, 4, 26])
+def test_recursion_and_its_end(letters):
+    """The same order, wherever the recursion ends; periods and copies make it deep."""
+    pick = np.random.default_rng(letters)
+    part = pick.integers(0, letters, 700).astype(np.uint8)
+    for text in (np.tile(part[:60], 50), np.concatenate([part, part, part[::-1], part]), np.zeros(900, np.uint8), pick.integers(0, letters, 3000).astype(np.uint8)):
+        raw = text.tobytes()
+        want = sorted(range(len(raw)), key=lambda i: raw[i:])
+        assert all(suffix_array.suffix_array(text, base).tolist() == want for base in (0, 5, 100, 1 << 15))
+
+
 def test_groups_of_suffixes():
     pick = np.random.default_rng(1)
     text = pick.integers(0, 4, 5000)
