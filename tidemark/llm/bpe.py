@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 
 from ._arrow import bounded, flat, lean, sha256, texts, word_hashes
 
-#: Bytes of a chunk; words that a bucket's task remembers: a bucket with more encodes some again.
-CHUNK, REMEMBERED = 8 << 20, 1 << 18
+#: Bytes of a chunk; words that a bucket's task remembers: a bucket with more encodes some again; level of compression.
+CHUNK, REMEMBERED, LEVEL = 16 << 20, 1 << 18, 5
 _MODELS: dict[str, tuple] = {}
 #: White space of the pre-tokenizer's pattern, at either end of a word.
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -179,20 +179,29 @@ def _chunks(batches):
         yield pa.concat_batches(held)
 
 
-def _parcel(places: np.ndarray, values: pa.Array) -> bytes:
-    """Places and the bytes that belong to them, compressed."""
+def _planes(values: np.ndarray) -> bytes:
+    """32-bit numbers as their first bytes, then their second ones and so on: small numbers leave planes of zeros."""
+    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _numbers(raw: bytes, n: int, at: int) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8, 4 * n, at).reshape(4, n).T).view("<u4").ravel()
+
+
+def _parcel(places: np.ndarray, values: pa.Array, numbers: bool = False) -> bytes:
+    """Ascending places and the bytes that belong to them, compressed; numbers: the bytes are 32-bit numbers."""
     data, ends = flat(values)
-    size = np.diff(ends).astype("<u4")
-    body = np.uint32(len(places)).tobytes() + np.diff(places, prepend=0).astype("<i4").tobytes() + size.tobytes() + data.tobytes()
-    return zstandard.compress(body, 1)
+    body = np.uint32(len(places)).tobytes() + _planes(np.diff(places, prepend=0)) + _planes(np.diff(ends)) + (_planes(data.view("<u4")) if numbers else data.tobytes())
+    return zstandard.compress(body, LEVEL)
 
 
-def _opened(parcel: bytes) -> tuple[np.ndarray, np.ndarray, bytes]:
+def _opened(parcel: bytes, numbers: bool = False) -> tuple[np.ndarray, np.ndarray, bytes]:
     """(places, edges, data) of a parcel."""
     raw = zstandard.decompress(parcel)
     n = int(np.frombuffer(raw, "<u4", 1)[0])
-    places, size = np.cumsum(np.frombuffer(raw, "<i4", n, 4)), np.frombuffer(raw, "<u4", n, 4 + 4 * n)
-    return places, np.concatenate(([0], np.cumsum(size, dtype=np.int64))), raw[4 + 8 * n :]
+    places, size = np.cumsum(_numbers(raw, n, 4), dtype=np.int64), _numbers(raw, n, 4 + 4 * n)
+    data = raw[4 + 8 * n :]
+    return places, np.concatenate(([0], np.cumsum(size, dtype=np.int64))), _numbers(data, len(data) // 4, 0).tobytes() if numbers else data
 
 
 def word_ids(rows: DataFrame, path: str) -> DataFrame:
@@ -221,7 +230,7 @@ def word_ids(rows: DataFrame, path: str) -> DataFrame:
                 if len(known) + len(missing) > REMEMBERED:
                     known, missing = {}, words
                 known.update(zip(missing, _ids(model, [w.decode() for w in missing]), strict=True))
-                out.append(_parcel(places, pa.array([known[w] for w in words], pa.binary())))
+                out.append(_parcel(places, pa.array([known[w] for w in words], pa.binary()), numbers=True))
             yield pa.RecordBatch.from_arrays([batch.column("chunk"), pa.array(out, pa.binary())], names=["chunk", "data"])
 
     # a bucket gets a parcel from each chunk, however common its words are
@@ -233,7 +242,7 @@ def _texts(rows: DataFrame) -> DataFrame:
     """(chunk, kind, data): the chunks themselves, compressed."""
 
     def pack(batches):
-        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=LEVEL))
         for part in _chunks(batches):
             out = pa.BufferOutputStream()
             with pa.ipc.new_stream(out, part.schema, options=options) as stream:
@@ -256,7 +265,7 @@ def _encoded(rows: DataFrame, path: str, fields: str, work: Callable[[np.ndarray
                 if own != key:
                     key, held, ready = own, [], None
                 if kind == 0:
-                    held.append(_opened(data.as_py()))
+                    held.append(_opened(data.as_py(), numbers=True))
                     continue
                 if ready is None:
                     # equal chunks tell their words twice
