@@ -33,8 +33,9 @@ from pyspark.sql import functions as F
 
 from ._arrow import bounded, flat, lean, sha256, texts, word_hashes
 
-#: Bytes of a chunk; words that a bucket's task remembers: a bucket with more encodes some again; level of compression.
-CHUNK, REMEMBERED, LEVEL = 16 << 20, 1 << 18, 5
+#: Bytes of a chunk; words that a bucket's task remembers: a bucket with more encodes some again; buckets at most; level of
+#: compression.
+CHUNK, REMEMBERED, BUCKETS, LEVEL = 16 << 20, 1 << 18, 2048, 5
 _MODELS: dict[str, tuple] = {}
 #: White space of the pre-tokenizer's pattern, at either end of a word.
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -206,7 +207,8 @@ def _opened(parcel: bytes, numbers: bool = False) -> tuple[np.ndarray, np.ndarra
 
 def word_ids(rows: DataFrame, path: str) -> DataFrame:
     """(chunk, data): parcels of the ids of each chunk's words, by place."""
-    buckets = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # more of them would leave a few words to a parcel
+    buckets = min(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), BUCKETS)
 
     def tell(batches):
         for part in _chunks(batches):
