@@ -35,7 +35,7 @@ from ._arrow import bounded, flat, lean, sha256, texts, word_hashes
 
 #: Bytes of a chunk; words that a bucket's task remembers: a bucket with more encodes some again; buckets at most; level of
 #: compression.
-CHUNK, REMEMBERED, BUCKETS, LEVEL = 16 << 20, 1 << 18, 2048, 5
+CHUNK, REMEMBERED, BUCKETS, LEVEL = 8 << 20, 1 << 18, 2048, 5
 _MODELS: dict[str, tuple] = {}
 #: White space of the pre-tokenizer's pattern, at either end of a word.
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -103,7 +103,7 @@ def cut(path: str, column: pa.Array) -> Cut:
     lead[at[:-1]] = True
     plain = flat_words.dictionary_encode()
     bad = np.fromiter(map(_unsafe, plain.dictionary.to_pylist()), bool, len(plain.dictionary))
-    index = plain.indices.to_numpy().astype(np.int64)
+    index = plain.indices.to_numpy()
     odd = odd.to_numpy(zero_copy_only=False) | (np.logical_or.reduceat(bad[index], at[:-1]) if n else np.zeros(0, bool))
     per_word = np.diff(at)
     skip = np.repeat(odd, per_word)
@@ -115,7 +115,8 @@ def cut(path: str, column: pa.Array) -> Cut:
     listed = plain.dictionary.cast(pa.string())
     spaced, first = listed.take(pa.array(used[used < size])), listed.take(pa.array(used[used >= size] - size))
     words = pa.concat_arrays([pc.binary_join_element_wise(pa.scalar(" "), spaced, ""), first])
-    return Cut(words, (np.cumsum(seen) - 1)[code], np.repeat(np.arange(n), per_word)[~skip], np.flatnonzero(odd), n)
+    place = (np.cumsum(seen) - 1).astype(np.int32)
+    return Cut(words, place[code], np.repeat(np.arange(n, dtype=np.int32), per_word)[~skip], np.flatnonzero(odd), n)
 
 
 def encode_chunk(path: str, column: pa.Array, places: np.ndarray | None = None, known: pa.Array | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -148,7 +149,9 @@ def encode_chunk(path: str, column: pa.Array, places: np.ndarray | None = None,
     take = lengths[entry]
     ends = np.cumsum(take)
     # the join by position: each entry's ids stand in the pool from begins[entry]
-    ids = pool[np.repeat(begins[entry] - (ends - take), take) + np.arange(ends[-1] if len(ends) else 0)]
+    at = np.repeat((begins[entry] - (ends - take)).astype(np.int32), take)
+    at += np.arange(len(at), dtype=np.int32)
+    ids = pool[at]
     return ids, np.concatenate(([0], np.cumsum(np.bincount(text, take, own.n).astype(np.int64))))
 
 
