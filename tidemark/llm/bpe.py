@@ -36,6 +36,8 @@ from ._arrow import bounded, flat, lean, sha256, texts, word_hashes
 #: Bytes of a chunk; words that a bucket's task remembers: a bucket with more encodes some again; buckets at most; level of
 #: compression.
 CHUNK, REMEMBERED, BUCKETS, LEVEL = 8 << 20, 1 << 18, 2048, 5
+#: Ids that are joined to positions, hashed and decoded at once.
+PART = 1 << 18
 _MODELS: dict[str, tuple] = {}
 #: White space of the pre-tokenizer's pattern, at either end of a word.
 _SPACE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -121,6 +123,13 @@ def cut(path: str, column: pa.Array) -> Cut:
 
 def encode_chunk(path: str, column: pa.Array, places: np.ndarray | None = None, known: pa.Array | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(ids, offsets) of the texts of a column, in order; known: ids (little-endian, 32 bits) of the words at some places, each once."""
+    parts = [(ids, offsets) for _, _, ids, offsets in encode_parts(path, column, places, known)]
+    sizes = [np.diff(offsets) for _, offsets in parts]
+    return np.concatenate([ids for ids, _ in parts] or [np.zeros(0, "<u4")]), np.concatenate(([0], np.cumsum(np.concatenate(sizes or [np.zeros(0, np.int64)]))))
+
+
+def encode_parts(path: str, column: pa.Array, places: np.ndarray | None = None, known: pa.Array | None = None):
+    """As encode_chunk(), in parts of about PART ids: (a, b, ids, offsets) of the texts a .. b - 1."""
     own, model = cut(path, column), _model(path)[0]
     size = len(own.words)
     given = np.zeros(size, np.int64)
@@ -146,13 +155,18 @@ def encode_chunk(path: str, column: pa.Array, places: np.ndarray | None = None,
         entry, text = np.concatenate((entry, size + np.arange(len(own.whole)))), np.concatenate((text, own.whole))
         order = np.argsort(text, kind="stable")
         entry, text = entry[order], text[order]
-    take = lengths[entry]
-    ends = np.cumsum(take)
-    # the join by position: each entry's ids stand in the pool from begins[entry]
-    at = np.repeat((begins[entry] - (ends - take)).astype(np.int32), take)
-    at += np.arange(len(at), dtype=np.int32)
-    ids = pool[at]
-    return ids, np.concatenate(([0], np.cumsum(np.bincount(text, take, own.n).astype(np.int64))))
+    per_text = np.bincount(text, lengths[entry], own.n).astype(np.int64)
+    first, total = np.searchsorted(text, np.arange(own.n + 1)), np.concatenate(([0], np.cumsum(per_text)))
+    a = 0
+    while a < own.n:
+        b = max(a + 1, int(np.searchsorted(total, total[a] + PART, side="right")) - 1)
+        some = entry[first[a] : first[b]]
+        take = lengths[some]
+        # the join by position: each entry's ids stand in the pool from begins[entry]
+        at = np.repeat(begins[some] - (np.cumsum(take) - take), take)
+        at += np.arange(len(at))
+        yield a, b, pool[at], total[a : b + 1] - total[a]
+        a = b
 
 
 def _name(column: pa.Array) -> bytes:
@@ -208,6 +222,15 @@ def _opened(parcel: bytes, numbers: bool = False) -> tuple[np.ndarray, np.ndarra
     return places, np.concatenate(([0], np.cumsum(size, dtype=np.int64))), _numbers(data, len(data) // 4, 0).tobytes() if numbers else data
 
 
+def _joined(held: list[tuple]) -> tuple[np.ndarray, pa.Array]:
+    """(places, values) of opened parcels together."""
+    if not held:
+        return np.zeros(0, np.int64), pa.array([], pa.binary())
+    sizes = np.concatenate([np.diff(x[1]) for x in held])
+    edges = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    return np.concatenate([x[0] for x in held]), pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(edges), pa.py_buffer(b"".join(x[2] for x in held))])
+
+
 def word_ids(rows: DataFrame, path: str) -> DataFrame:
     """(chunk, data): parcels of the ids of each chunk's words, by place."""
     # more of them would leave a few words to a parcel
@@ -274,13 +297,13 @@ def _encoded(rows: DataFrame, path: str, fields: str, work: Callable[[np.ndarray
                     continue
                 if ready is None:
                     # equal chunks tell their words twice
-                    place = np.concatenate([x[0] for x in held]) if held else np.zeros(0, np.int64)
-                    ids = pa.array([x[2][a:b] for x in held for a, b in zip(x[1].tolist(), x[1][1:].tolist(), strict=False)], pa.binary())
+                    place, ids = _joined(held)
                     place, first = np.unique(place, return_index=True)
                     ready, held = (place, ids.take(pa.array(first))), []
                 with pa.ipc.open_stream(data.as_buffer()) as stream:
                     for part in stream:
-                        yield pa.RecordBatch.from_arrays([part.column("doc_id"), *work(*encode_chunk(path, part.column("text"), *ready))], names=names)
+                        for a, b, ids, offsets in encode_parts(path, part.column("text"), *ready):
+                            yield pa.RecordBatch.from_arrays([part.column("doc_id").slice(a, b - a), *work(ids, offsets)], names=names)
 
     both = words.unionByName(_texts(rows))
     # a chunk is of bounded size, so no task gets more than its share
