@@ -284,3 +284,20 @@ def test_commands(world, tmp_path, capsys, monkeypatch):
     assert cli.main(["backfill", *common, "--migrate"]) == 0
     assert cli.main(["sync", *common, "--once"]) == 0
     assert TargetStore(world.spark, str(tmp_path / "out" / "replica")).read("runs").count() == 1
+
+
+@pytest.mark.parametrize("pushdown", ["false", "true"])
+def test_sqlite_scan_whatever_the_session_says_of_pushdown(spark, world, pushdown):
+    """Spark's default is off, where it refuses readers that push filters."""
+    from pyspark.sql import functions as F
+
+    from tidemark.queries import QUERIES
+
+    world.sql("INSERT INTO runs VALUES (1,'a',1,NULL),(2,'b',0,NULL),(3,NULL,0,NULL)")
+    before = spark.conf.get("spark.sql.python.filterPushdown.enabled")
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", pushdown)
+    try:
+        assert QUERIES["sqlite_scan"](spark, "/root/testdata/sf0.001").first().n == spark.read.parquet("/root/testdata/sf0.001/supplier.parquet").count()
+        assert sorted(r.id for r in SqliteSource(spark, world.path, 2).read("runs", ["id", "status"]).where(F.col("id") >= 2).collect()) == [2, 3]
+    finally:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", before)

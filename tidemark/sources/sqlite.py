@@ -71,13 +71,6 @@ class SqliteReader(DataSourceReader):
         self.tests: list[tuple[str, object]] = []
         self.floor = (options["floor_column"], options["floor"]) if options.get("floor") and options.get("floor_column") else None
 
-    def pushFilters(self, filters):
-        """Comparisons of integers go to SQLite; Spark checks every filter again."""
-        for f in filters:
-            if type(f) in _COMPARE and len(f.attribute) == 1 and f.attribute[0] in self.names and isinstance(f.value, int) and isinstance(self.schema[f.attribute[0]].dataType, T.LongType):
-                self.tests.append((f"{quoted(f.attribute[0])} {_COMPARE[type(f)]} ?", f.value))
-            yield f
-
     def partitions(self):
         with closing(open_readonly(self.path)) as db:
             try:
@@ -113,6 +106,15 @@ class SqliteReader(DataSourceReader):
                 yield pa.RecordBatch.from_arrays([*arrays, pa.array(order, pa.int64()), pa.array(refused, pa.string())], names=[*self.names, "_order", "_refused"])
 
 
+class PushingReader(SqliteReader):
+    def pushFilters(self, filters):
+        """Comparisons of integers go to SQLite; Spark checks every filter again."""
+        for f in filters:
+            if type(f) in _COMPARE and len(f.attribute) == 1 and f.attribute[0] in self.names and isinstance(f.value, int) and isinstance(self.schema[f.attribute[0]].dataType, T.LongType):
+                self.tests.append((f"{quoted(f.attribute[0])} {_COMPARE[type(f)]} ?", f.value))
+            yield f
+
+
 def _column(name: str, kind: T.DataType, values: tuple, refused: list[str | None]) -> pa.Array:
     """A column's values; a row with one of another class gets the reason in refused, if it has none yet."""
     own, arrow = _CLASSES[type(kind)]
@@ -140,8 +142,9 @@ def _held(value, kind: T.DataType) -> tuple[object, bool]:
 
 
 class SqliteDataSource(DataSource):
-    """format("tidemark_sqlite") with options path, table, columns (comma-separated), partitions.
+    """format("tidemark_sqlite") with options path, table, columns (comma-separated), partitions, pushdown.
 
+    pushdown: true where the session has it on; Spark refuses readers that push filters where it is off, and it is off by default.
     floor_column, floor: rows whose timestamp text lies before the UTC text floor needn't be read; unreadable ones are.
     """
 
@@ -155,7 +158,7 @@ class SqliteDataSource(DataSource):
         return _struct(table, [c for c in table.names if not wanted or c in wanted])
 
     def reader(self, schema: T.StructType) -> SqliteReader:
-        return SqliteReader(dict(self.options), schema)
+        return (PushingReader if self.options.get("pushdown", "").lower() == "true" else SqliteReader)(dict(self.options), schema)
 
 
 class SqliteSource:
@@ -173,6 +176,7 @@ class SqliteSource:
         if not columns:
             raise ValueError(f"{table}: no columns to read")
         reader = self.spark.read.format("tidemark_sqlite").option("path", self.path).option("table", table).option("columns", ",".join(columns)).option("partitions", self.parts)
+        reader = reader.option("pushdown", self.spark.conf.get("spark.sql.python.filterPushdown.enabled"))
         return (reader.option("floor_column", floor[0]).option("floor", floor[1]) if floor else reader).load()
 
     def count(self, table: str) -> int:
