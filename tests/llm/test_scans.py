@@ -173,3 +173,22 @@ def test_held_out_is_never_learned(spark):
     docs = spark.createDataFrame([(i, "abc" * 5, "aa") for i in range(200)], "doc_id long, text string, lang string")
     only = docs.where(language.held_out(docs.doc_id))
     assert language.learn(only) is None
+
+
+def test_learning_looks_at_texts_in_slices(monkeypatch):
+    """The driver's memory follows a slice of the sample, not all of it, and the model stays the same."""
+    import tracemalloc
+
+    rows = [(f"{'the house of wind ' if i % 2 else 'une maison du vent '}{i} " * 200, "en" if i % 2 else "fr") for i in range(400)]
+    tracemalloc.start()
+    try:
+        model = language.fit(rows, epochs=1)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 30 * sum(len(t) for t, _ in rows)
+    monkeypatch.setattr(language, "SLICE", 1 << 40)
+    whole = language.fit(rows, epochs=1)
+    assert (model.weights == whole.weights).all() and (model.bias == whole.bias).all() and model.temperature == whole.temperature
+    monkeypatch.setattr(language, "SLICE", 3)
+    assert list(language.slices(["", "aaaa", "b", "cc", "d"])) == [[""], ["aaaa"], ["b", "cc"], ["d"]]

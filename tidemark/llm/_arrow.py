@@ -89,14 +89,19 @@ def lean(run: Callable) -> Callable:
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
-            if trim:
-                trim(0)
+            give_back()
 
     return outer
 
 
+def give_back() -> None:
+    """Memory that this process no longer uses goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
 def id_type(df: DataFrame) -> str:
     return df.schema["doc_id"].dataType.simpleString()
 

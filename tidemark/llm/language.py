@@ -13,6 +13,7 @@ to the one first in alphabetical order.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,12 +21,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._arrow import bounded, chunks, lean, lowest, mix, per_text, texts
+from ._arrow import bounded, chunks, give_back, lean, lowest, mix, per_text, texts
 
 #: N-gram sizes and the number of hashed features.
 SIZES, FEATURES = (1, 2, 3), 1 << 17
 #: Relative frequencies are small; this brings features to about 1.
 SCALE = 20.0
+#: Characters that learning looks at in one go; a longer text is looked at alone.
+SLICE = 1 << 18
 _LETTERS: list[np.ndarray] = []
 
 
@@ -91,19 +94,33 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
+def slices(values: list[str]) -> Iterator[list[str]]:
+    """The same texts in lists of at most SLICE characters, or of one text."""
+    some, size = [], 0
+    for v in values:
+        if some and size + len(v) > SLICE:
+            yield some
+            some, size = [], 0
+        some.append(v)
+        size += len(v)
+    if some:
+        yield some
+
+
 def fit(rows: list[tuple[str, str]], epochs: int = 3, alpha: float = 0.5, beta: float = 1.0, l1: float = 0.002, l2: float = 0.01, counted: tuple[np.ndarray, int] | None = None) -> Model | None:
     """rows: (text, language), in a fixed order; every fifth calibrates. counted: documents with each feature, and documents (without: of the rows)."""
     languages = sorted({x[1] for x in rows})
     if not languages:
         return None
-    parts, total, _ = grams([x[0] for x in rows])
     target = np.array([languages.index(x[1]) for x in rows])
-    docs = []
+    docs = []  # each text's features, how often it has them, and its n-grams
     df = np.zeros(FEATURES)
-    for i in range(len(rows)):
-        feature, count = np.unique(np.concatenate([f[a[i] : a[i + 1]] for f, a in parts]), return_counts=True)
-        df[feature] += 1
-        docs.append((feature, count / max(1, total[i]) * SCALE))
+    for some in slices([x[0] for x in rows]):
+        parts, total, _ = grams(some)
+        for i in range(len(some)):
+            feature, count = np.unique(np.concatenate([f[a[i] : a[i + 1]] for f, a in parts]), return_counts=True)
+            df[feature] += 1
+            docs.append((feature.astype(np.int32), count.astype(np.int32), max(1, total[i])))
     df, total_rows = counted or (df, len(rows))
     idf = np.log((1 + total_rows) / (1 + df)) + 1
     k = len(languages)
@@ -116,8 +133,8 @@ def fit(rows: list[tuple[str, str]], epochs: int = 3, alpha: float = 0.5, beta:
     held = np.arange(len(rows)) % 5 == 4 if len(rows) >= 25 else np.zeros(len(rows), bool)
     for _ in range(epochs):
         for i in np.flatnonzero(~held):
-            feature, x = docs[i]
-            x = (x * idf[feature])[:, None]
+            feature, count, grams_of_it = docs[i]
+            x = (count / grams_of_it * SCALE * idf[feature])[:, None]
             w, b = weight(z[feature], n[feature], l1), weight(zb, nb, 0.0)
             logit = (x * w).sum(axis=0) + b
             g = softmax(logit[None])[0]
@@ -128,7 +145,7 @@ def fit(rows: list[tuple[str, str]], epochs: int = 3, alpha: float = 0.5, beta:
                 nn[at] = grown
     model = Model(languages, (weight(z, n, l1) * idf[:, None]).astype(np.float32), weight(zb, nb, 0.0), 1.0)
     check = np.flatnonzero(held) if held.any() else np.arange(len(rows))
-    logits, truth = model.logits([rows[i][0] for i in check])[0], target[check]
+    logits, truth = np.concatenate([model.logits(some)[0] for some in slices([rows[i][0] for i in check])]), target[check]
 
     def loss(t):
         return -np.log(np.maximum(softmax(logits / t)[np.arange(len(truth)), truth], 1e-12)).mean()
@@ -150,7 +167,9 @@ def learn(docs: DataFrame, max_rows: int = 2000, id_col: str = "doc_id", text_co
     rows = rows.where(F.col("text").isNotNull())
     counted = document_frequencies(rows)
     some = lowest(rows, counted[1], max_rows, "doc_id", "text", "lang")
-    return fit([(r.text, r.lang) for r in some], counted=counted)
+    model = fit([(r.text, r.lang) for r in some], counted=counted)
+    give_back()
+    return model
 
 
 def document_frequencies(rows: DataFrame) -> tuple[np.ndarray, int]:
