@@ -162,3 +162,21 @@ def test_components(spark):
     got = dict(components.components(spark.createDataFrame(chain, "a long, b long")).collect())
     assert got == dict.fromkeys(range(41), 0) | dict.fromkeys((100, 101, 105), 100)
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_line_sets_are_made_in_slices(monkeypatch):
+    """A worker's memory follows a slice of a batch's lines besides the sets themselves, which stay the same."""
+    import tracemalloc
+
+    lines = [f"{'été ' * (i % 3)}line {i} of a batch with words {i * i} and the rest of it, which is always the same".encode() for i in range(10_000)] + [b"", b"short", b"x" * 300_000]
+    tracemalloc.start()
+    try:
+        sets = line_dedup._line_sets(lines)
+        held, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert peak - held < 35 * sum(map(len, lines))
+    monkeypatch.setattr(line_dedup, "SLICE", 1 << 40)
+    whole = line_dedup._line_sets(lines)
+    assert len(sets) == len(whole) == len(lines) and all((a == b).all() and len(a) == len(b) for a, b in zip(sets, whole, strict=True))
+    assert line_dedup._line_sets([]) == []

@@ -28,6 +28,8 @@ from .components import components
 
 #: Characters of a shingle; bands, and hashes of a band.
 SHINGLE, BANDS, ROWS = 8, 12, 3
+#: Bytes of lines whose shingles are made at once; a longer line is looked at alone.
+SLICE = 1 << 17
 _BLANK = " \t\r\x0b\x0c"
 
 
@@ -126,9 +128,14 @@ def _distinct(part: pa.RecordBatch) -> tuple[list[str], np.ndarray, np.ndarray]:
 
 
 def _line_sets(lines: list[bytes]) -> list[np.ndarray]:
-    """Each line's distinct shingles, ascending; all lines of a batch in one go."""
-    hashed, edges = distinct(*shingles([x.decode() for x in lines], SHINGLE))
-    return [hashed[a:b].copy() for a, b in zip(edges, edges[1:], strict=False)]
+    """Each line's distinct shingles, ascending; lines of about SLICE bytes in one go."""
+    out, ends, at = [], np.cumsum(np.fromiter(map(len, lines), np.int64, len(lines))), 0
+    while at < len(lines):
+        stop = max(at + 1, int(np.searchsorted(ends, ends[at] - len(lines[at]) + SLICE, side="right")))
+        hashed, edges = distinct(*shingles([x.decode() for x in lines[at:stop]], SHINGLE))
+        out += [hashed[a:b].copy() for a, b in zip(edges, edges[1:], strict=False)]
+        at = stop
+    return out
 
 
 def _kept_lines(rows: DataFrame, percent: int) -> DataFrame:
