@@ -1,5 +1,6 @@
 import hashlib
 import re
+import sys
 from collections import Counter
 
 import numpy as np
@@ -112,6 +113,35 @@ def test_recursion_and_its_end(letters):
         assert all(suffix_array.suffix_array(text, base).tolist() == want for base in (0, 5, 100, 1 << 15))
 
 
+@pytest.mark.parametrize("kind", [np.uint8, np.uint16, np.int32])
+def test_order_and_prefixes_of_long_spans(kind):
+    """Spans beyond the words that are compared at once, texts that end in zeros, and the highest byte."""
+    rise = np.repeat(np.arange(0, 256, 5), 4)
+    late = np.concatenate([rise[:-1], [254, 255]])
+    for parts in ([rise, late, rise, late[:-3], rise, [0] * 9], [[7] * 150, [3], [7] * 150, [3], [7] * 149, [9], [0]], [[255] * 20, [0] * 20, [255] * 20, [0] * 12], [[0, 0, 255, 255] * 60]):
+        text = np.concatenate([np.asarray(x) for x in parts]).astype(kind)
+        raw = text.tolist()
+        want = sorted(range(len(raw)), key=lambda i: raw[i:])
+        assert all(suffix_array.suffix_array(text, base).tolist() == want for base in (0, 1 << 15))
+        lcp = suffix_array.common_prefixes(text, np.array(want)).tolist()
+        for a, b, n in zip(want, want[1:], lcp[1:], strict=False):
+            assert raw[a : a + n] == raw[b : b + n] and raw[a + n : a + n + 1] != raw[b + n : b + n + 1]
+
+
+def test_short_stretches_take_no_sort_each():
+    """Where each entry settles only the next one, stretches are induced without a call of NumPy's sort for each."""
+    text = np.concatenate([np.arange(3000, 0, -1), np.arange(1, 3000), np.arange(3000, 0, -1)]).astype(np.int32)
+    calls = Counter()
+    sys.setprofile(lambda _, event, what: calls.update([getattr(what, "__name__", "")]) if event == "c_call" else None)
+    try:
+        order = suffix_array.suffix_array(text)
+    finally:
+        sys.setprofile(None)
+    raw = text.tolist()
+    assert order.tolist() == sorted(range(len(raw)), key=lambda i: raw[i:])
+    assert calls["argsort"] < 100
+
+
 def test_groups_of_suffixes():
     pick = np.random.default_rng(1)
     text = pick.integers(0, 4, 5000)

@@ -3,7 +3,7 @@
 Contexts of repeated anchors (see ``_repeats``) are gathered by anchor into shards. Each shard's suffix array is
 built by induced sorting: suffixes are classified as S or L, leftmost S suffixes (LMS) are
 sorted through their substrings' names, recursively (down to a reduced text of bounded size, whose prefixes are doubled until they differ), and the shard's array is induced from them in two linear scans. The
-scans run over whole stretches of settled entries at a time. Permuted common prefixes follow from the
+scans run over whole stretches of settled entries at a time, and one by one over short ones. Permuted common prefixes follow from the
 irreducible ones; suffixes whose neighbours share at least ``length`` bytes are repeats.
 
 A byte goes if a string of ``length`` bytes over it starts anywhere else, in the same text or another, judged on the input.
@@ -26,79 +26,130 @@ from ._tables import stored
 GRAM, SHARD = 50, 2 << 20
 #: Symbols of the reduced text that ends the recursion: as many buckets as symbols, one by one, take longer than sorting them.
 BASE = 1 << 15
+#: Entries of a stretch that are induced one by one.
+FEW = 32
 
 
-def _grouped(values: np.ndarray, slot: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order by value, stable, and each one's place; slot is moved on by step for each."""
-    order = values.argsort(kind="stable")
-    ranked = values[order]
-    new = ranked[1:] != ranked[:-1]
-    if new.all():
-        place = slot[ranked]
-        slot[ranked] = place + step
-        return order, place
-    begin = np.concatenate(([0], np.flatnonzero(new) + 1))
-    size = np.diff(begin, append=len(ranked))
-    first = ranked[begin]
-    place = np.repeat(slot[first] - step * begin, size) + step * np.arange(len(ranked))
-    slot[first] += step * size
-    return order, place
-
-
-def _induce(text: np.ndarray, s_type: np.ndarray, seeds: np.ndarray, letters: int) -> np.ndarray:
-    """The order of all suffixes but the last (the sentinel's), induced from the LMS suffixes in seeds' order."""
-    n = len(text)
-    small = np.uint8 if letters <= 256 else np.uint16 if letters <= 65536 else np.int32
-    keys = text.astype(small, copy=False)
-    n_l = np.bincount(text[~s_type], minlength=letters)
-    seed_letter = text[seeds]
-    n_m = np.bincount(seed_letter, minlength=letters)
+def _ordered(values: np.ndarray) -> np.ndarray:
+    """The stable order of non-negative integers; wide ones by their halves, as NumPy sorts 16 bits by radix."""
+    if values.itemsize <= 2:
+        return values.argsort(kind="stable")
+    order = (values & 0xFFFF).astype(np.uint16).argsort(kind="stable")
+    return order[(values >> 16).astype(np.uint16)[order].argsort(kind="stable")]
+
+
+def _put(out: np.ndarray, slot: np.ndarray, found: np.ndarray, letter: np.ndarray, step: int) -> None:
+    """Each found position takes its letter's next place, in their order; slot is moved on by step for each."""
+    order = _ordered(letter)
+    ranked = letter[order]
+    nth = np.arange(len(ranked))
+    first = nth.copy()
+    first[1:][ranked[1:] == ranked[:-1]] = 0
+    nth -= np.maximum.accumulate(first, out=first)
+    place = slot[ranked] + step * nth
+    slot[ranked] = place + step  # the last one of each letter counts
+    out[place] = found[order]
+
+
+def _put_few(out: memoryview, slot: memoryview, settled: list[int], wanted: memoryview, keys: memoryview, step: int) -> None:
+    """As _put(), one by one, of the wanted positions before the settled ones."""
+    for i in settled:
+        if wanted[i - 1]:
+            letter = keys[i - 1]
+            place = slot[letter]
+            out[place] = i - 1
+            slot[letter] = place + step
+
+
+def _induce(keys: np.ndarray, s_type: np.ndarray, seeds: np.ndarray, n_l: np.ndarray, n_s: np.ndarray) -> np.ndarray:
+    """The order of all suffixes but the last (the sentinel's), induced from the LMS suffixes in seeds' order.
+
+    n_l, n_s: L and S suffixes by letter, the sentinel's left out.
+    """
+    letters = len(n_l)
+    n_m = np.bincount(keys[seeds], minlength=letters)
     # left to right: per letter, places of L suffixes, then its seeds
     begin = np.concatenate(([0], np.cumsum(n_l + n_m)))
     out = np.empty(begin[-1], np.int32)
-    rank = np.arange(len(seeds)) - np.repeat(np.cumsum(n_m) - n_m, n_m)
-    out[begin[seed_letter] + n_l[seed_letter] + rank] = seeds
+    out[np.repeat(begin[:-1] + n_l - (np.cumsum(n_m) - n_m), n_m) + np.arange(len(seeds))] = seeds
     slot, stop = begin[:-1].copy(), begin[:-1] + n_l
     letter, at, total = 0, 0, len(out)
     wanted = ~s_type  # position -1 stands for the sentinel, which nothing induces
+    views = memoryview(out), memoryview(slot), memoryview(wanted), memoryview(keys), memoryview(stop)
     while at < total:
-        while letter < letters and slot[letter] == stop[letter]:
-            ahead = np.flatnonzero(slot[letter : letter + 512] < stop[letter : letter + 512])
-            letter = letter + int(ahead[0]) if len(ahead) else min(letter + 512, letters)
-        limit = int(slot[letter]) if letter < letters else total
-        before = out[at:limit] - 1
-        before = before[wanted[before]]
-        if len(before):
-            order, place = _grouped(keys[before], slot, 1)
-            out[place] = before[order]
+        while letter < letters and views[1][letter] == views[4][letter]:
+            ahead = slot[letter : letter + 512] < stop[letter : letter + 512]
+            first = int(ahead.argmax())
+            letter = letter + first if ahead[first] else min(letter + 512, letters)
+        limit = views[1][letter] if letter < letters else total
+        if limit - at <= FEW:
+            _put_few(*views[:2], out[at:limit].tolist(), *views[2:4], 1)
+        else:
+            before = out[at:limit].astype(np.intp) - 1
+            before = before[wanted[before]]
+            if len(before):
+                _put(out, slot, before, keys[before], 1)
         at = limit
-    l_sorted = out[np.concatenate(([False], ~s_type))[out + 1]] if total else out
+    l_sorted = out[wanted[out]]
     # right to left: per letter, its L suffixes, then places of S suffixes
-    n_s = np.bincount(text[:-1][s_type[:-1]], minlength=letters)
     begin = np.concatenate(([0], np.cumsum(n_l + n_s)))
     out = np.empty(begin[-1], np.int32)
-    l_letter = text[l_sorted]
-    rank = np.arange(len(l_sorted)) - np.repeat(np.cumsum(n_l) - n_l, n_l)
-    out[begin[l_letter] + rank] = l_sorted
+    out[np.repeat(begin[:-1] - (np.cumsum(n_l) - n_l), n_l) + np.arange(len(l_sorted))] = l_sorted
     slot, stop = begin[1:] - 1, begin[:-1] + n_l - 1
     letter, at = letters - 1, len(out) - 1
     wanted = s_type.copy()
     wanted[-1] = False
+    views = memoryview(out), memoryview(slot), memoryview(wanted), memoryview(keys), memoryview(stop)
     while at >= 0:
-        while letter >= 0 and slot[letter] == stop[letter]:
+        while letter >= 0 and views[1][letter] == views[4][letter]:
             low = max(0, letter - 511)
-            ahead = np.flatnonzero(slot[low : letter + 1] > stop[low : letter + 1])
-            letter = low + int(ahead[-1]) if len(ahead) else low - 1
-        limit = int(slot[letter]) if letter >= 0 else -1
-        before = out[at:limit:-1] - 1 if limit >= 0 else out[at::-1] - 1
-        before = before[wanted[before]]
-        if len(before):
-            order, place = _grouped(keys[before], slot, -1)
-            out[place] = before[order]
+            ahead = (slot[low : letter + 1] > stop[low : letter + 1])[::-1]
+            first = int(ahead.argmax())
+            letter = letter - first if ahead[first] else low - 1
+        limit = views[1][letter] if letter >= 0 else -1
+        settled = out[limit + 1 : at + 1][::-1]
+        if at - limit <= FEW:
+            _put_few(*views[:2], settled.tolist(), *views[2:4], -1)
+        else:
+            before = settled.astype(np.intp) - 1
+            before = before[wanted[before]]
+            if len(before):
+                _put(out, slot, before, keys[before], -1)
         at = limit
     return out
 
 
+def _words(text: np.ndarray) -> tuple[np.ndarray, int]:
+    """Eight bytes from each symbol on, zeros after the last one, as a number whose low end comes first; and the symbols in them."""
+    per = 8 // text.itemsize
+    padded = np.zeros(len(text) + per, text.dtype)
+    padded[: len(text)] = text
+    return np.ndarray((len(text) + 1,), "<u8", padded, strides=(text.itemsize,)), per
+
+
+def _like_before(keys: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether each span of size symbols from start on, but the first, equals the one before it in this list."""
+    wide, per = _words(keys)
+    bits = 8 * keys.itemsize
+    mask = np.array([(1 << bits * k) - 1 for k in range(per + 1)], np.uint64)
+    word = wide[start] & mask[np.minimum(size, per)]
+    same = (word[1:] == word[:-1]) & (size[1:] == size[:-1])
+    done, live = per, np.flatnonzero(same & (size[1:] > per))
+    while len(live) and done < 8 * per:
+        left = mask[np.minimum(size[live] - done, per)]
+        equal = (wide[start[live] + done] ^ wide[start[live + 1] + done]) & left == 0
+        same[live[~equal]] = False
+        done += per
+        live = live[equal & (size[live] > done)]
+    if len(live):  # what is left of long ones in one go
+        left = size[live] - done
+        begin = np.cumsum(left) - left
+        at = np.arange(begin[-1] + left[-1]) - np.repeat(begin - done, left)
+        equal = keys[np.repeat(start[live], left) + at] == keys[np.repeat(start[live + 1], left) + at]
+        same[live] = np.logical_and.reduceat(equal, begin)
+    return same
+
+
 def suffix_array(text: np.ndarray, base: int | None = None) -> np.ndarray:
     """The suffixes' starts in order, of a text of non-negative integers; a shorter suffix comes before a longer like one.
 
@@ -120,7 +171,7 @@ def _few(text: np.ndarray) -> np.ndarray:
     while True:
         key = rank * (int(rank.max()) + 1)
         key[:-reach] += rank[reach:]
-        order = key.argsort(kind="stable")
+        order = key.argsort()
         ranked = key[order]
         rank = np.empty(n, np.int64)
         rank[order] = np.concatenate(([0], np.cumsum(ranked[1:] != ranked[:-1])))
@@ -132,42 +183,35 @@ def _few(text: np.ndarray) -> np.ndarray:
 def _sorted(text: np.ndarray, letters: int, base: int) -> np.ndarray:
     """As suffix_array, of a text that ends in its only 0, which the result leaves out."""
     n = len(text)
-    change = np.flatnonzero(text[:-1] != text[1:])
-    following = change[np.searchsorted(change, np.arange(n - 1))]
+    keys = text.astype(np.uint8 if letters <= 256 else np.uint16 if letters <= 65536 else np.int32, copy=False)
+    change = np.flatnonzero(keys[:-1] != keys[1:])
     s_type = np.ones(n, bool)
-    s_type[:-1] = text[following] < text[following + 1]
+    s_type[:-1] = np.repeat(keys[change] < keys[change + 1], np.diff(change, prepend=-1))
+    n_l = np.bincount(keys[~s_type], minlength=letters)
+    n_s = np.bincount(keys[:-1], minlength=letters) - n_l
     lms = np.flatnonzero(s_type[1:] & ~s_type[:-1]) + 1  # the sentinel among them, last
     inner = lms[:-1]
-    first = inner[np.argsort(text[inner], kind="stable")]
+    first = inner[_ordered(keys[inner])]
     if len(inner) > 1:
-        ranked = _induce(text, s_type, _with_sentinel(first, n), letters)
-        is_lms = np.zeros(n, bool)
-        is_lms[inner] = True
-        ranked = ranked[is_lms[ranked]]
+        ranked = _induce(keys, s_type, _with_sentinel(first, n), n_l, n_s)
+        nth = np.full(n, -1, np.int32)  # of the LMS suffixes, by position
+        nth[inner] = np.arange(len(inner))
+        which = nth[ranked]
+        which = which[which >= 0]
         # names: substrings from one LMS suffix to the next, each compared with the one before it in order
-        length = np.zeros(n, np.int64)
-        length[inner] = np.diff(lms) + 1
-        size = length[ranked]
-        new = np.ones(len(ranked), bool)
-        like = np.flatnonzero(size[1:] == size[:-1]) + 1
-        if len(like):
-            first_of = np.cumsum(size[like]) - size[like]
-            at = np.arange(first_of[-1] + size[like[-1]]) - np.repeat(first_of, size[like])
-            same = text[np.repeat(ranked[like], size[like]) + at] == text[np.repeat(ranked[like - 1], size[like]) + at]
-            new[like] = ~np.logical_and.reduceat(same, first_of)
-        name = np.cumsum(new)
+        ranked = inner[which]
+        name = np.cumsum(np.concatenate(([True], ~_like_before(keys, ranked, np.diff(lms)[which] + 1))))
         if name[-1] < len(inner):
-            names = np.zeros(n, np.int32)
-            names[ranked] = name
-            reduced = np.append(names[inner], 0).astype(np.int32)
+            reduced = np.zeros(len(inner) + 1, np.int32)
+            reduced[which] = name
             order = _few(reduced) if len(reduced) <= base else _sorted(reduced, int(name[-1]) + 1, base)
             ranked = inner[order]
         first = ranked
-    return _induce(text, s_type, _with_sentinel(first, n), letters)
+    return _induce(keys, s_type, _with_sentinel(first, n), n_l, n_s)
 
 
 def _with_sentinel(seeds: np.ndarray, n: int) -> np.ndarray:
-    return np.concatenate(([n - 1], seeds)).astype(np.int32)
+    return np.concatenate(([n - 1], seeds))
 
 
 def common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
@@ -178,40 +222,25 @@ def common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
     left = np.empty(n, np.int64)  # the suffix before, by position
     left[order[1:]] = order[:-1]
     left[order[0]] = -1
-    at = np.arange(n)
-    open_ = left >= 0
-    reducible = open_.copy()
+    reducible = left > 0
     reducible[0] = False
-    reducible[1:] &= left[1:] > 0
+    reducible[1:] &= left[:-1] >= 0
     reducible[1:] &= text[np.maximum(left[1:] - 1, 0)] == text[:-1]
-    lengths = np.zeros(n, np.int64)
-    i = np.flatnonzero(open_ & ~reducible)
+    i = np.flatnonzero(~reducible)
     j = left[i]
+    most = np.where(j < 0, 0, n - np.maximum(i, j))
     done = np.zeros(len(i), np.int64)
-    wide = np.zeros(n, np.uint64)  # eight symbols at a time
-    padded = np.concatenate((text.astype(np.uint64) + np.uint64(1), np.zeros(8, np.uint64))) if text.dtype == np.uint8 else None
-    if padded is not None:
-        for b in range(8):
-            wide |= (padded[b : b + n] & np.uint64(0xFF)) << np.uint64(8 * b)
-        live = np.arange(len(i))
-        while len(live):
-            a, b = i[live] + done[live], j[live] + done[live]
-            inside = np.maximum(a, b) + 8 <= n
-            same = inside.copy()
-            same[inside] = wide[a[inside]] == wide[b[inside]]
-            done[live[same]] += 8
-            live = live[same]
-    live = np.arange(len(i))
+    wide, per = _words(text)
+    bits = 8 * text.itemsize
+    live = np.flatnonzero(most)
     while len(live):
-        a, b = i[live] + done[live], j[live] + done[live]
-        same = np.maximum(a, b) < n
-        same[same] = text[a[same]] == text[b[same]]
-        done[live[same]] += 1
-        live = live[same]
-    lengths[i] = done
-    known = np.where(reducible, -1, at)
-    base = np.maximum.accumulate(known)
-    lengths = np.where(reducible, lengths[base] - (at - base), lengths)
+        differ = wide[i[live] + done[live]] ^ wide[j[live] + done[live]]
+        low = differ & (~differ + np.uint64(1))  # the lowest bit that differs
+        done[live] += np.bitwise_count(low - np.uint64(1)) // bits
+        live = live[(differ == 0) & (done[live] < most[live])]
+    np.minimum(done, most, out=done)
+    # one less than the entry before, where it is reducible
+    lengths = np.repeat(done + i, np.diff(i, append=n)) - np.arange(n)
     return lengths[order]
 
 
